@@ -28,6 +28,7 @@ from cupom.plans.refresh import delete_dates, refresh_scope
 from cupom.sinks.lake import merge_revisions
 from cupom.sinks.tables import bond_dimension_batch, merge_by_key
 from cupom.sources.landing import combine_ptax, newest_file_rows, parse_ptax_lines
+from cupom.sources.tables import read_parquet
 
 # Fixed query parameters.
 ON_DATE = "1998-06-15"
@@ -47,8 +48,14 @@ LINEITEM_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_qua
                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
 
 
+# Tables small enough that spreading them is not worth a shuffle.
+_SMALL = {"region", "nation", "supplier", "labels", "benchmark"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table; large ones are spread over the session's cores when the file has fewer
+    splits than cores (see :mod:`cupom.sources.tables`)."""
+    return read_parquet(spark, f"{sf}/{name}.parquet", balance=name not in _SMALL)
 
 
 def _d(c: str) -> Column:

@@ -1,0 +1,28 @@
+"""Reading Parquet tables with a parallelism floor.
+
+A Parquet row group is never split across tasks, so a file written as one big row group is
+scanned by a single task, and every per-row stage after it runs on one core. When a scan yields
+fewer splits than the session's default parallelism, rows are spread round-robin right after the
+scan (a cheap shuffle of the already-pruned columns). On a cluster reading many files the scan
+already has thousands of splits and this is a no-op.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def parallelism_floor(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when ``df`` has fewer partitions than the floor."""
+    floor = min_partitions or parallelism_floor(df.sparkSession)
+    n = df.rdd.getNumPartitions()
+    return df.repartition(floor) if n < floor else df
+
+
+def read_parquet(spark: SparkSession, path: str, balance: bool = True) -> DataFrame:
+    df = spark.read.parquet(path)
+    return spread(df) if balance else df
