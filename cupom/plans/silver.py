@@ -188,13 +188,12 @@ def vna_records(payload: DataFrame, record_col: str = "rec", order: Sequence[str
     kept as they are. ``payload`` has one struct column per day record."""
     st = payload.schema[record_col].dataType
     names = [f.name for f in st.fields]
-    titles = next((a for a in VNA_TITLES_ALIASES if a in names), None)
+    titles = [F.col(f"{record_col}.{a}") for a in VNA_TITLES_ALIASES if a in names]
+    if not titles:
+        return payload.select(*order, f"{record_col}.*")
     day = [F.col(f"{record_col}.{a}") for a in VNA_DATE_ALIASES if a in names]
     x = payload.select(*order, F.coalesce(*day).cast("string").alias("_day") if day else F.lit(None).cast("string")
-                       .alias("_day"), F.col(f"{record_col}.{titles}").alias("_titles") if titles else
-                       F.lit(None).alias("_titles"))
-    if titles is None:
-        return payload.select(*order, f"{record_col}.*")
+                       .alias("_day"), F.coalesce(*titles).alias("_titles"))
     # A title without its own date takes the day's (a key present with a null value is read the
     # same as a missing key: JSON parsing cannot tell them apart).
     out = explode_with_parent(x, "_titles", {"data_referencia": "_day"})
