@@ -182,22 +182,40 @@ def feriados(df: DataFrame, col: str = "Data") -> DataFrame:
     return df.select(to_date_any(F.col(c)).alias("data")).where(F.col("data").isNotNull()).distinct().orderBy("data")
 
 
+# Alias keys of the VNA title fields, in lookup order.
+VNA_FIELD_ALIASES = {
+    "codigo_selic": ("codigo_selic", "codigoSelic", "codigo", "cod_selic"),
+    "tipo_correcao": ("tipo_correcao", "tipoCorrecao", "correcao"),
+    "index": ("index", "indice", "índice"),
+    "data_validade": ("data_validade", "dataValidade", "validade"),
+    "vna": ("vna", "VNA", "valor_vna", "valor"),
+    "data_referencia": ("data_referencia", "data", "Data", "dt_referencia"),
+}
+_MAP = T.MapType(T.StringType(), T.StringType())
+
+
+def _pick(m: str, keys) -> "F.Column":
+    return F.coalesce(*[F.col(m).getItem(k) for k in keys])
+
+
 def vna_records(payload: DataFrame, record_col: str = "rec", order: Sequence[str] = ("_seq",)) -> DataFrame:
-    """N1 for VNA payloads: day records with a title list → one row per title; the day's date is
-    pushed down when the title lacks it. Records without a title list but with a selic code are
-    kept as they are. ``payload`` has one struct column per day record."""
-    st = payload.schema[record_col].dataType
-    names = [f.name for f in st.fields]
-    titles = [F.col(f"{record_col}.{a}") for a in VNA_TITLES_ALIASES if a in names]
-    if not titles:
-        return payload.select(*order, f"{record_col}.*")
-    day = [F.col(f"{record_col}.{a}") for a in VNA_DATE_ALIASES if a in names]
-    x = payload.select(*order, F.coalesce(*day).cast("string").alias("_day") if day else F.lit(None).cast("string")
-                       .alias("_day"), F.coalesce(*titles).alias("_titles"))
-    # A title without its own date takes the day's (a key present with a null value is read the
-    # same as a missing key: JSON parsing cannot tell them apart).
-    out = explode_with_parent(x, "_titles", {"data_referencia": "_day"})
-    return out.drop("_day")
+    """N1 for VNA payloads: day records → one row per title, the day's date pushed down when the
+    title lacks one (P9 alias lookup per field). Records are ``map<string,string>``: JSON keys that
+    differ only in case (``vna`` / ``VNA``) stay distinct, which a struct schema cannot do.
+
+    A day record without a title list but with a selic code is itself a title row.
+    """
+    m = F.col(record_col)
+    titles_text = F.coalesce(*[m.getItem(k) for k in VNA_TITLES_ALIASES])
+    x = payload.select(*order, _pick(record_col, VNA_DATE_ALIASES).alias("_day"),
+                       F.from_json(titles_text, T.ArrayType(_MAP)).alias("_titles"),
+                       F.when(titles_text.isNull() & _pick(record_col, VNA_FIELD_ALIASES["codigo_selic"]).isNotNull(),
+                              F.array(m)).alias("_self"))
+    x = x.select(*order, "_day", F.coalesce("_titles", "_self").alias("_titles"))
+    e = x.select(*order, "_day", F.posexplode("_titles").alias("_pos", "_t")).where(F.col("_t").isNotNull())
+    fields = [_pick("_t", keys).alias(name) for name, keys in VNA_FIELD_ALIASES.items() if name != "data_referencia"]
+    day = F.coalesce(_pick("_t", VNA_FIELD_ALIASES["data_referencia"]), F.col("_day"))
+    return e.select(*order, "_pos", day.alias("data_referencia"), *fields)
 
 
 def vna(rows: DataFrame, partition_col: str | None = None, dates: DataFrame | None = None,
