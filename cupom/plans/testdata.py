@@ -28,6 +28,7 @@ from cupom.plans.refresh import delete_dates, refresh_scope
 from cupom.sinks.lake import merge_revisions
 from cupom.sinks.tables import bond_dimension_batch, merge_by_key
 from cupom.sources.landing import combine_ptax, newest_file_rows, parse_ptax_lines
+from cupom.sources import landing as landing_mod
 from cupom.sources.tables import read_parquet
 
 # Fixed query parameters.
@@ -871,6 +872,145 @@ UNION ALL SELECT 'orders', 'pk_unique', CAST(coalesce(sum(n - 1), 0) AS BIGINT)
   SELECT count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*) > 1)"""
 
 
+# ------------------------------------------------------------------- more feeds
+
+def time_series(spark, sf):
+    """(dd/MM/yyyy, value text) records, first per date in landed order, sorted."""
+    ev = table(spark, sf, "events")
+    recs = ev.select(F.date_format("ts", "dd/MM/yyyy").alias("data"), F.col("value").cast("string").alias("valor"),
+                     F.col("event_type").alias("_file"), F.col("event_id").alias("_pos"))
+    return landing_mod.time_series_records(recs)
+
+
+SQL_TIME_SERIES = """
+SELECT d AS data, value AS valor FROM (
+  SELECT CAST(ts AS DATE) AS d, value, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_type, event_id)
+         AS rn FROM events) WHERE rn = 1"""
+
+
+def _cents() -> Column:
+    return F.round(F.col("value") * 100).cast("bigint")
+
+
+def ipca_silver(spark, sf):
+    """S18 (abbreviated layout) + C10 + C6 + G1 + G2: one landed table per month; odd months use
+    decimal commas with thousands dots, and their second variable is written with a dot (which the
+    column-wide rule turns into a ×100 value, as upstream)."""
+    agg = _long_rows(spark, sf).groupBy("ref_month", "var").agg(F.max("value").alias("value"))
+    c = _cents()
+    comma = F.concat(F.when(c >= 100000, F.concat((c / 100000).cast("bigint").cast("string"), F.lit("."),
+                                                  F.lpad(((c / 100).cast("bigint") % 1000).cast("string"), 3, "0")))
+                     .otherwise((c / 100).cast("bigint").cast("string")),
+                     F.lit(","), F.lpad((c % 100).cast("string"), 2, "0"))
+    dot = F.concat((c / 100).cast("bigint").cast("string"), F.lit("."), F.lpad((c % 100).cast("string"), 2, "0"))
+    odd = F.month("ref_month") % 2 == 1
+    text = F.when(odd & (F.col("var") == "2266"), comma).otherwise(dot)
+    landed = agg.select(F.date_format("ref_month", "yyyyMM").alias("D2C"), F.col("var").alias("D3C"),
+                        text.alias("V"), F.date_format("ref_month", "yyyyMM").alias("_file"))
+    return silver.ipca_indice(landed)
+
+
+SQL_IPCA_SILVER = f"""
+WITH a AS (SELECT ref_month, var, CAST(round(max(value) * 100) AS BIGINT) AS cents FROM ({_SQL_LONG}) GROUP BY 1, 2),
+v AS (SELECT ref_month, var,
+        CASE WHEN month(ref_month) % 2 = 1 AND var = '63' THEN CAST(cents AS DOUBLE) ELSE cents / 100.0 END AS val
+      FROM a WHERE var IN ('2266', '63'))
+SELECT ref_month, max(CASE WHEN var = '2266' THEN val END) AS ipca_index,
+       max(CASE WHEN var = '63' THEN val END) AS ipca_mom FROM v GROUP BY ref_month"""
+
+
+def _futures_gold(spark, sf) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    sd = _d("l_shipdate")
+    family = F.when(F.col("l_returnflag") == "A", "DI1").when(F.col("l_returnflag") == "N", "DAP").otherwise("WIN")
+    ticker = F.concat(family, F.col("l_linestatus"), (F.col("l_partkey") % 40).cast("string"))
+    raw = li.select(F.date_format(sd, "dd/MM/yyyy").alias("RptDt"), ticker.alias("TckrSymb"),
+                    F.concat(F.lit("BR"), ticker).alias("ISIN"),
+                    F.date_format(F.make_date(F.year(sd) + 1, F.lit(1), F.lit(1)), "yyyy-MM-dd").alias("XprtnDt"),
+                    F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(","),
+                             F.col("l_linenumber").cast("string")).alias("AdjstdQtTax"),
+                    F.col("l_suppkey").cast("string").alias("AdjstdQt"), _li_seq().alias("_seq"))
+    return materialize(silver.ajustes_bmf(raw), "bmf", "*", ["_seq"])
+
+
+def futures_adjustments(spark, sf):
+    from cupom.plans.gold import adjustments_from_facts
+
+    return adjustments_from_facts(_futures_gold(spark, sf))
+
+
+def futures_contracts(spark, sf):
+    from cupom.plans.gold import contracts_from_facts
+
+    return contracts_from_facts(_futures_gold(spark, sf), ["data_referencia"])
+
+
+_SQL_FUTURES = f"""
+WITH s AS (SELECT CAST(l_shipdate AS DATE) AS d,
+                  CASE l_returnflag WHEN 'A' THEN 'DI1' WHEN 'N' THEN 'DAP' ELSE 'WIN' END || l_linestatus
+                    || CAST(l_partkey % 40 AS VARCHAR) AS ticker,
+                  CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR) AS tax_txt,
+                  l_suppkey, make_date(year(l_shipdate) + 1, 1, 1) AS venc, {", ".join(LINEITEM_ORDER)}
+           FROM lineitem),
+g AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY d, ticker ORDER BY {_LI_ORD_ASC}) AS rn FROM s
+                     WHERE starts_with(ticker, 'DAP') OR starts_with(ticker, 'DI1')) WHERE rn = 1)"""
+
+SQL_FUTURES_ADJ = f"""{_SQL_FUTURES}
+SELECT ticker, d AS data_referencia, TRY_CAST(replace(tax_txt, ',', '.') AS DOUBLE) AS taxa_ajuste,
+       CAST(l_suppkey AS DOUBLE) AS quantidade_ajuste FROM g"""
+
+SQL_FUTURES_CONTRACTS = f"""{_SQL_FUTURES}
+SELECT ticker, 'BR' || ticker AS codigo_isin, venc AS data_vencimento FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY d DESC) AS r FROM g) WHERE r = 1"""
+
+
+def auctions(spark, sf):
+    """S16 + T6 + M6: yearly responses with a ``registros`` list (here two records per order:
+    the auction and its second round) → one row per record → typed → keyed."""
+    o = table(spark, sf, "orders")
+    d = _d("o_orderdate")
+
+    def rec(day, edital):
+        return F.struct(F.date_format(day, "yyyy-MM-dd").alias("data_leilao"), F.col("o_orderstatus").alias("titulo"),
+                        F.date_format(F.last_day(d), "yyyy-MM-dd").alias("vencimento"),
+                        edital.cast("string").alias("numero_edital"), F.col("o_orderkey").cast("string").alias("oferta"),
+                        F.col("o_totalprice").cast("string").alias("pu_medio"))
+
+    responses = o.select(F.col("o_orderkey").alias("_resp"),
+                         F.array(rec(d, F.col("o_custkey") % 500), rec(F.date_add(d, 7), F.col("o_custkey") % 500 + 1000))
+                         .alias("registros"))
+    rows = landing_mod.auction_records(responses)
+    typed = silver.leiloes(rows).withColumn("_seq", F.struct("_resp", "_rpos"))
+    return materialize(typed, "leiloes", "*", ["_seq"])
+
+
+SQL_AUCTIONS = """
+WITH r AS (
+  SELECT o_orderkey AS resp, 0 AS pos, CAST(o_orderdate AS DATE) AS data_referencia, o_orderstatus AS tipo_titulo,
+         last_day(CAST(o_orderdate AS DATE)) AS data_vencimento, o_custkey % 500 AS numero_edital,
+         o_orderkey AS oferta, o_totalprice AS pu_medio FROM orders
+  UNION ALL
+  SELECT o_orderkey, 1, CAST(CAST(o_orderdate AS DATE) + 7 AS DATE), o_orderstatus, last_day(CAST(o_orderdate AS DATE)),
+         o_custkey % 500 + 1000, o_orderkey, o_totalprice FROM orders)
+SELECT CAST(numero_edital AS BIGINT) AS numero_edital, tipo_titulo, data_vencimento, data_referencia,
+       CAST(oferta AS BIGINT) AS oferta, CAST(NULL AS DOUBLE) AS quantidade_aceita, CAST(NULL AS DOUBLE) AS percentual_corte,
+       CAST(NULL AS DOUBLE) AS oferta_segunda_volta, CAST(NULL AS DOUBLE) AS financeiro_aceito,
+       CAST(NULL AS DOUBLE) AS financeiro_aceito_segunda_volta, CAST(NULL AS DOUBLE) AS quantidade_aceita_segunda_volta,
+       pu_medio, CAST(NULL AS DOUBLE) AS taxa_media
+FROM (SELECT *, row_number() OVER (PARTITION BY tipo_titulo, data_vencimento, data_referencia, numero_edital
+                                   ORDER BY resp, pos) AS rn FROM r) WHERE rn = 1"""
+
+
+def gap_summary_q(spark, sf):
+    from cupom.plans.incremental import gap_summary
+
+    return gap_summary(gap_report(spark, sf), "bronze")
+
+
+SQL_GAP_SUMMARY = f"""SELECT 'bronze' AS layer, dataset, CAST(count(*) AS BIGINT) AS n_missing,
+  min(value) AS first_missing, max(value) AS last_missing FROM ({SQL_GAPS}) GROUP BY dataset"""
+
+
 # ------------------------------------------------------------------------------------ registry
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -921,4 +1061,10 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "refresh_scope": (refresh_scope_q, SQL_REFRESH),
     "gold_delete": (gold_delete, SQL_GOLD_DELETE),
     "constraint_violations": (constraints_q, SQL_CONSTRAINTS),
+    "time_series": (time_series, SQL_TIME_SERIES),
+    "ipca_silver": (ipca_silver, SQL_IPCA_SILVER),
+    "futures_adjustments": (futures_adjustments, SQL_FUTURES_ADJ),
+    "futures_contracts": (futures_contracts, SQL_FUTURES_CONTRACTS),
+    "auctions": (auctions, SQL_AUCTIONS),
+    "gap_summary": (gap_summary_q, SQL_GAP_SUMMARY),
 }
