@@ -18,8 +18,11 @@ def parallelism_floor(spark: SparkSession) -> int:
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition only when ``df`` has fewer partitions than the floor."""
-    floor = min_partitions or parallelism_floor(df.sparkSession)
-    n = df.rdd.getNumPartitions()
+    try:
+        floor = min_partitions or parallelism_floor(df.sparkSession)
+        n = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: no RDD view, keep the scan as it is
+        return df
     return df.repartition(floor) if n < floor else df
 
 
