@@ -1011,6 +1011,33 @@ SQL_GAP_SUMMARY = f"""SELECT 'bronze' AS layer, dataset, CAST(count(*) AS BIGINT
   min(value) AS first_missing, max(value) AS last_missing FROM ({SQL_GAPS}) GROUP BY dataset"""
 
 
+def projection_refresh(spark, sf):
+    """Expected months = months of the orders range; present = months with urgent pending
+    orders; active = neighbours of the last order date."""
+    from cupom.plans.incremental import projection_refresh_months
+
+    o = table(spark, sf, "orders")
+    d = _d("o_orderdate")
+    bounds = o.agg(F.trunc(F.min(d), "MM").alias("lo"), F.trunc(F.max(d), "MM").alias("hi"))
+    expected = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("m"))
+    present = o.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
+                      & (F.col("o_totalprice") > 300000)).select(F.trunc(d, "MM").alias("m"))
+    last = o.agg(F.max(d)).first()[0]
+    return projection_refresh_months(expected, present, last)
+
+
+SQL_PROJECTION_REFRESH = """
+WITH b AS (SELECT CAST(date_trunc('month', min(CAST(o_orderdate AS DATE))) AS DATE) AS lo,
+                  CAST(date_trunc('month', max(CAST(o_orderdate AS DATE))) AS DATE) AS hi,
+                  max(CAST(o_orderdate AS DATE)) AS last FROM orders),
+exp AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS value FROM b),
+have AS (SELECT DISTINCT CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS value FROM orders
+         WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' AND o_totalprice > 300000)
+SELECT value FROM exp WHERE value NOT IN (SELECT value FROM have)
+UNION
+SELECT CAST(date_trunc('month', last) + INTERVAL (k) MONTH AS DATE) FROM b, (VALUES (-1), (0), (1)) t(k)"""
+
+
 # ------------------------------------------------------------------------------------ registry
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -1067,4 +1094,5 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "futures_contracts": (futures_contracts, SQL_FUTURES_CONTRACTS),
     "auctions": (auctions, SQL_AUCTIONS),
     "gap_summary": (gap_summary_q, SQL_GAP_SUMMARY),
+    "projection_refresh": (projection_refresh, SQL_PROJECTION_REFRESH),
 }

@@ -113,3 +113,11 @@ def test_constraint_report(spark):
     got = {r.check_name: r.n_violations for r in
            constraint_violations(df, "IPCA_DICT", ["data_referencia"], ["usa_fechado"], {"usa_fechado": (0, 1)}).collect()}
     assert got == {"not_null:usa_fechado": 0, "in:usa_fechado": 3, "pk_not_null:data_referencia": 1, "pk_unique": 1}
+
+
+def test_snapshot_top_n(spark, tmp_path):
+    root = str(tmp_path / "lake4")
+    hol = spark.createDataFrame([(D(2026, 1, 1),), (D(2026, 2, 16),), (D(2026, 2, 17),)], "data date")
+    tables.replace_all(spark, root, "FERIADOS", hol)
+    top = [r.data for r in read_data(spark, root).feriados.fetch_top(2).collect()]
+    assert top == [D(2026, 2, 17), D(2026, 2, 16)]
