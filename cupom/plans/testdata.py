@@ -631,7 +631,7 @@ j AS (SELECT cl.*, sl.ipca_index AS a, sl.ipca_mom AS a_mom,
 u AS (SELECT *, coalesce(ultimo = CAST(m0 - INTERVAL 1 MONTH AS DATE) AND d < b15_cur AND coalesce(a <> bb, true),
                          false) AS usa FROM j)
 SELECT d AS data_referencia, CAST(month(ultimo) AS VARCHAR) AS ultimo_mes_ipca, ultimo AS ref_month_atual,
-       ant_month AS ref_month_anterior, 1614.62 AS indice_ipca_data_base, a AS indice_ipca_fechado_atual,
+       ant_month AS ref_month_anterior, CAST(1614.62 AS DOUBLE) AS indice_ipca_data_base, a AS indice_ipca_fechado_atual,
        bb AS indice_ipca_fechado_anterior, a_mom AS var_ipca_atual, b_mom AS var_ipca_ant, v AS ipca_proj,
        CASE WHEN usa THEN (a / bb - 1) * 100 ELSE v END AS ipca_usado, CAST(usa AS INTEGER) AS usa_fechado,
        coleta AS data_coleta_referencia, coleta AS ipca_proj_data_coleta,
