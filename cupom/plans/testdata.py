@@ -1038,6 +1038,44 @@ UNION
 SELECT CAST(date_trunc('month', last) + INTERVAL (k) MONTH AS DATE) FROM b, (VALUES (-1), (0), (1)) t(k)"""
 
 
+def lake_quotes(spark, sf):
+    """``update()`` end to end on the test tables: one quote per bond and day rendered from lineitem
+    lands as JSON in a fresh lake under the shared checkpoint folder; landing → bronze (daily
+    partitions) → silver (T3) → gold (M4 + bond dimension, W9/W7); the gold quotes are returned."""
+    from cupom.plans.update import update
+    from cupom.session import scratch_path
+    from cupom.sinks.tables import read_table
+
+    li = table(spark, sf, "lineitem")
+    d = _d("l_shipdate")
+    per_key = li.groupBy(F.col("l_linestatus").alias("tipo_titulo"), F.last_day(d).alias("venc"),
+                         d.alias("dia")).agg(F.max("l_discount").alias("taxa"), F.max("l_extendedprice").alias("pu"),
+                                             F.min("l_tax").alias("lo"), F.max("l_tax").alias("hi"))
+    landed = per_key.select("tipo_titulo", F.col("venc").cast("string").alias("data_vencimento"),
+                            F.col("dia").cast("string").alias("data_referencia"),
+                            F.col("taxa").cast("string").alias("taxa_indicativa"),
+                            F.col("lo").alias("intervalo_min_d0"), F.col("hi").alias("intervalo_max_d0"),
+                            F.col("lo").alias("intervalo_min_d1"), F.col("hi").alias("intervalo_max_d1"), "pu")
+    root = scratch_path(spark, "lake")
+    landed.write.json(f"{root}/landing/mercado_secundario")
+    lo, hi = per_key.agg(F.min("dia"), F.max("dia")).first()
+    report = update(spark, root, datasets=["mercado_secundario"], start_date=lo, end_date=hi, data_start="1900-01-01")
+    errors = [(r.layer, r.detail) for r in report.where("status = 'error'").collect()]
+    if errors:
+        raise RuntimeError(f"update failed: {errors}")
+    return read_table(spark, root, "MERCADO_SECUNDARIO").drop("p_month")
+
+
+SQL_LAKE_QUOTES = """
+SELECT l_linestatus AS tipo_titulo, last_day(CAST(l_shipdate AS DATE)) AS data_vencimento,
+       CAST(l_shipdate AS DATE) AS data_referencia, max(l_discount) AS taxa_anbima, min(l_tax) AS intervalo_min_d0,
+       max(l_tax) AS intervalo_max_d0, min(l_tax) AS intervalo_min_d1, max(l_tax) AS intervalo_max_d1,
+       max(l_extendedprice) AS pu, CAST(NULL AS VARCHAR) AS expressao, CAST(NULL AS DATE) AS data_base,
+       CAST(NULL AS VARCHAR) AS codigo_selic, CAST(NULL AS VARCHAR) AS codigo_isin, CAST(NULL AS DOUBLE) AS taxa_compra,
+       CAST(NULL AS DOUBLE) AS taxa_venda, CAST(NULL AS DOUBLE) AS desvio_padrao, 'ATIVO' AS status
+FROM lineitem GROUP BY 1, 2, 3"""
+
+
 # ------------------------------------------------------------------------------------ registry
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -1095,4 +1133,5 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "auctions": (auctions, SQL_AUCTIONS),
     "gap_summary": (gap_summary_q, SQL_GAP_SUMMARY),
     "projection_refresh": (projection_refresh, SQL_PROJECTION_REFRESH),
+    "lake_quotes": (lake_quotes, SQL_LAKE_QUOTES),
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -43,7 +44,16 @@ def build_session(master: str | None = None, app_name: str = "cupom", **conf: st
 
 def ensure_defaults(spark: SparkSession) -> None:
     """Apply the library's runtime SQL settings to an existing session."""
-    for key, value in _DEFAULTS.items():
+    settings = dict(_DEFAULTS)
+    # Partition discovery lists many directories with a Spark job of up to this many tasks (Spark's
+    # default is 10000, i.e. one task per directory for a daily layout); a few tasks per core list
+    # the same directories without the per-task overhead (measured 8 s → 1-2 s for 2500 days).
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        settings["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(max(16, 2 * cores))
+    except Exception:  # no SparkContext view (e.g. Spark Connect)
+        pass
+    for key, value in settings.items():
         try:
             spark.conf.set(key, value)
         except Exception:  # static conf on a shared session: keep what the cluster set
@@ -68,3 +78,24 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory under the shared checkpoint folder for a written intermediate."""
     return os.path.join(checkpoint_root(spark), "cupom", f"{name}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def conf_override(spark: SparkSession, settings: dict[str, str]):
+    """Set SQL settings for the jobs run inside the block, then restore the caller's values."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+# For partitioned writes: AQE may still split a hot partition (rebalance), but must not coalesce
+# many small partitions into one task that then creates every file serially (measured 5× slower).
+WRITE_SETTINGS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1"}
