@@ -1076,6 +1076,33 @@ SELECT l_linestatus AS tipo_titulo, last_day(CAST(l_shipdate AS DATE)) AS data_v
 FROM lineitem GROUP BY 1, 2, 3"""
 
 
+def date_keys(spark, sf):
+    """C15–C19 over every order: alias-field pick, month key, yyyyMM text, (year, month) → first day,
+    and ISO / dd/MM/yyyy / yyyyMMdd text → dd/MM/yyyy."""
+    from cupom.functions.coerce import first_of_month, first_present, month_start, to_ddmmyyyy, yyyymm_text
+
+    o = table(spark, sf, "orders")
+    d = _d("o_orderdate")
+    k = F.col("o_orderkey") % 3
+    text = (F.when(k == 0, F.date_format(d, "yyyy-MM-dd")).when(k == 1, F.date_format(d, "dd/MM/yyyy"))
+            .otherwise(F.date_format(d, "yyyyMMdd")))
+    blank_alias = F.when(F.col("o_orderkey") % 2 == 0, F.lit(" ")).otherwise(F.lit(None).cast("string"))
+    x = o.select("o_orderkey", d.alias("d"), text.alias("raw_text"), blank_alias.alias("alias_a"))
+    return x.select("o_orderkey", first_present("alias_a", F.col("d").cast("string")).alias("picked"),
+                    month_start("d").alias("month_key"), yyyymm_text("d").alias("yyyymm"),
+                    first_of_month(F.year("d"), F.month("d")).alias("first_day"),
+                    to_ddmmyyyy("raw_text").alias("ddmmyyyy"))
+
+
+SQL_DATE_KEYS = """
+SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS picked,
+       CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS month_key,
+       strftime(CAST(o_orderdate AS DATE), '%Y%m') AS yyyymm,
+       make_date(year(o_orderdate), month(o_orderdate), 1) AS first_day,
+       strftime(CAST(o_orderdate AS DATE), '%d/%m/%Y') AS ddmmyyyy
+FROM orders"""
+
+
 # ------------------------------------------------------------------------------------ registry
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -1134,4 +1161,5 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "gap_summary": (gap_summary_q, SQL_GAP_SUMMARY),
     "projection_refresh": (projection_refresh, SQL_PROJECTION_REFRESH),
     "lake_quotes": (lake_quotes, SQL_LAKE_QUOTES),
+    "date_keys": (date_keys, SQL_DATE_KEYS),
 }
