@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from cupom.functions.coerce import (month_to_date, to_date_any, to_double, to_long, trim_text,
                                     yyyymm_to_date)
 from cupom.operators.dedup import keep_first, keep_last
-from cupom.operators.reshape import (dedupe_column_names, explode_with_parent, pivot_long, project_columns,
-                                     raise_on_duplicate_keys, rename_aliases)
+from cupom.operators.reshape import (dedupe_column_names, pivot_long, project_columns, raise_on_duplicate_keys,
+                                     rename_aliases)
 from cupom.sources.landing import VAR_IPCA_INDEX, VAR_IPCA_MOM, inflation_long
 
 # Rename maps of the landed feeds.
