@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cupom.llm import chat, url_lists
+from cupom.llm import chat, compression, toxicity, url_lists, warc
 from cupom.llm.common import ship, table
-from cupom.llm.sql import CHAT_SQL, URL_SQL
+from cupom.llm.sql import CHAT_SQL, URL_SQL, WARC_SQL
+from cupom.session import scratch_path
+
+
+def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return compression.quality(docs, keep_text=False)
 
 
 def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +59,27 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages are written as archives in the shared folder and read back from them."""
+    records = warc.plan_records(table(spark, sf_dir, "pages"))
+    manifest = warc.write_archives(records, scratch_path(spark, "warc"))
+    read = warc.read_archives(spark, manifest)
+    return read.select(
+        "page_id",
+        F.coalesce(F.octet_length("payload").cast("long"), F.col("payload_bytes")).alias("payload_bytes"),
+        F.coalesce(F.sha2("payload", 256), F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    held_out = F.coalesce(toxicity.fold_of(F.col("doc_id")) == 0, F.lit(False))
+    return toxicity.score(docs, lexicon, keep_text=False).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def _shipped(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -61,7 +88,12 @@ def _shipped(fn):
     return run
 
 
-REGISTRY = {
+_QUERIES = {
+    "op2_compression_bands": (op2_compression_bands, None),
     "op6_url_lists": (op6_url_lists, URL_SQL),
     "op7_chat_format": (op7_chat_format, CHAT_SQL),
+    "op8_warc_dictionary": (op8_warc_dictionary, WARC_SQL),
+    "op10_toxicity": (op10_toxicity, None),
 }
+
+REGISTRY = {name: (_shipped(fn), sql) for name, (fn, sql) in _QUERIES.items()}

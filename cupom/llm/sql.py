@@ -55,3 +55,12 @@ SELECT p.page_id, p.url, p.fetch_date, p.host, coalesce(v.active_lists, '') AS a
        CASE WHEN v.b > v.a THEN 'block' WHEN v.a > 0 THEN 'allow' ELSE 'pass' END AS verdict
 FROM pages_ p LEFT JOIN verdicts v ON p.page_id IS NOT DISTINCT FROM v.page_id AND p.url IS NOT DISTINCT FROM v.url
 """
+
+WARC_SQL = r"""
+WITH payloads AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM firsts
+"""
