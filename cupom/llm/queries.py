@@ -5,12 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cupom.llm import chat, compression, toxicity, url_lists, warc
+from cupom.llm import bpe, chat, compression, order, toxicity, url_lists, warc
 from cupom.llm.common import ship, table
 from cupom.llm.sql import CHAT_SQL, URL_SQL, WARC_SQL
 from cupom.session import scratch_path
 
 
+#: Sequences of the training order: ids per sequence, records per shard, key of the permutation.
+SEQUENCE, PER_SHARD, ORDER_KEY = 512, 1 << 14, 0x5EED
+END_TOKEN = 50256
+
+
+def vocabulary(spark: SparkSession, name: str = "byte_bpe_50k.tiktoken") -> bpe.Vocabulary:
+    import public_tokenizers
+
+    return bpe.Vocabulary(spark, public_tokenizers.path(name), public_tokenizers.PATTERN)
+
+
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as sequences in shards of the shared folder, read back from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    staged = order.stage(docs, vocabulary(spark), END_TOKEN, SEQUENCE)
+    manifest = order.write_shards(staged, scratch_path(spark, "order"), ORDER_KEY, SEQUENCE, PER_SHARD)
+    read = order.read_sequences(spark, manifest, SEQUENCE)
+    return read.select("slot", "shard", "offset", "doc_id", "part", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
+
+
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return compression.quality(docs, keep_text=False)
@@ -59,6 +79,14 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = vocabulary(spark)
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), words, keep_text=False)
+    hashed = encoded.withColumn("ids_sha256", F.sha2("ids", 256))
+    decoded = bpe.decode(hashed, words, keep_ids=False)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages are written as archives in the shared folder and read back from them."""
     records = warc.plan_records(table(spark, sf_dir, "pages"))
@@ -89,7 +117,9 @@ def _shipped(fn):
 
 
 _QUERIES = {
+    "op1_training_order": (op1_training_order, None),
     "op2_compression_bands": (op2_compression_bands, None),
+    "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_url_lists": (op6_url_lists, URL_SQL),
     "op7_chat_format": (op7_chat_format, CHAT_SQL),
     "op8_warc_dictionary": (op8_warc_dictionary, WARC_SQL),
