@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cupom.llm import bpe, chat, compression, order, toxicity, url_lists, warc
+from cupom.llm import bpe, chat, compression, fm_index, order, probminhash, toxicity, url_lists, warc
 from cupom.llm.common import ship, table
 from cupom.llm.sql import CHAT_SQL, URL_SQL, WARC_SQL
 from cupom.session import scratch_path
@@ -79,6 +79,19 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    benchmark = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    found = fm_index.decontaminate(docs, benchmark, keep_text=False)
+    names = F.array_sort(F.transform("item_ids", lambda x: x.cast("string")))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), "contaminated", F.size("spans").cast("long").alias("n_spans"))
+
+
+def op4_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return probminhash.classify(docs).select("doc_id", "class_id")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = vocabulary(spark)
     encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), words, keep_text=False)
@@ -119,6 +132,8 @@ def _shipped(fn):
 _QUERIES = {
     "op1_training_order": (op1_training_order, None),
     "op2_compression_bands": (op2_compression_bands, None),
+    "op3_fm_index": (op3_fm_index, None),
+    "op4_probminhash": (op4_probminhash, None),
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_url_lists": (op6_url_lists, URL_SQL),
     "op7_chat_format": (op7_chat_format, CHAT_SQL),
