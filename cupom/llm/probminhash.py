@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cupom.llm.common import stored, text_bytes
@@ -293,7 +293,7 @@ def rest_links(checked: DataFrame, classes: DataFrame, similarity: float = SIMIL
 
 
 def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, node, class_id) per row: rows of one class are near-duplicates or connected by such."""
+    """(doc_id, node, root, class_id) per row: rows of one class, which ``root`` marks, are near-duplicates or connected by such."""
     signed = stored(sign(docs, key, text), "signed")
     pairs = stored(hub_links(signed), "hub-links")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
@@ -308,4 +308,24 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", similarit
     rows = signed.select("doc_id", "node", F.size("bands").alias("n_bands"))
     roots = rows.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = roots.where("n_bands > 0").groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return roots.join(names, "root", "left").select("doc_id", "node", F.when(F.col("n_bands") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+    return roots.join(names, "root", "left").select("doc_id", "node", "root", F.when(F.col("n_bands") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one row of each class: that with the smallest doc_id (null last), then the smallest digest, then the smallest hash of its columns.
+
+    Texts without words are in no class and all stay.
+    """
+    wordy = F.coalesce(docs[text].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    last = F.lit(np.iinfo(np.int64).max)
+    first = (
+        classify(docs.where(wordy), key, text, similarity)
+        .groupBy("root")
+        .agg(F.min(F.struct(F.coalesce("doc_id", last).alias("id"), F.col("node"))).alias("first"))
+        .select(F.col("first.id").alias("_pm_id"), F.col("first.node").alias("_pm_node"))
+    )
+    rows = docs.withColumns({"_pm_id": F.coalesce(docs[key].cast("long"), last), "_pm_node": text_key(docs[text])})
+    # Both keys are those of the join: rows that repeat id and text are told apart without another shuffle.
+    twins = Window.partitionBy("_pm_id", "_pm_node").orderBy(F.xxhash64(*[docs[c] for c in docs.columns if c != text]))
+    kept = rows.where(wordy).join(first, ["_pm_id", "_pm_node"], "left_semi").withColumn("_pm_row", F.row_number().over(twins)).where("_pm_row = 1")
+    return kept.select(*docs.columns).unionByName(docs.where(~wordy))

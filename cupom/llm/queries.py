@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cupom.llm import bpe, chat, compression, fm_index, order, probminhash, toxicity, url_lists, warc
+from cupom.llm import bpe, chat, compression, fm_index, order, probminhash, suffix_dedup, toxicity, url_lists, warc
 from cupom.llm.common import ship, table
 from cupom.llm.sql import CHAT_SQL, URL_SQL, WARC_SQL
 from cupom.session import scratch_path
@@ -114,6 +114,11 @@ def op8_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
@@ -138,6 +143,7 @@ _QUERIES = {
     "op6_url_lists": (op6_url_lists, URL_SQL),
     "op7_chat_format": (op7_chat_format, CHAT_SQL),
     "op8_warc_dictionary": (op8_warc_dictionary, WARC_SQL),
+    "op9_deep_shallow": (op9_deep_shallow, None),
     "op10_toxicity": (op10_toxicity, None),
 }
 
