@@ -107,9 +107,9 @@ class Lexicon:
 
     def weigh(self, folded: str) -> tuple[float, int, int]:
         """(summed weight, hits, words) of a folded text."""
-        words = folded.count(" ") - 1
+        words = folded.count(" ") - 1 if folded.strip() else 0
         if not self.weights:
-            return 0.0, 0, max(words, 0)
+            return 0.0, 0, words
         best: dict[int, float] = {}
         exempt = []
         for end, (length, weight) in self.automaton().iter(folded):
@@ -120,7 +120,7 @@ class Lexicon:
                 best[at] = weight
         if exempt:
             best = {at: w for at, w in best.items() if not any(a <= at < b for a, b in exempt)}
-        return sum(best.values()), len(best), max(words, 0)
+        return float(sum(best.values())), len(best), words
 
     def score(self, weight: float, words: int) -> float:
         z = self.curve[0] + float(np.dot(self.curve[1:], shape(weight, words)))

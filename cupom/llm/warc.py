@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from itertools import chain
 
 import pyarrow as pa
 import zstandard as zstd
@@ -106,28 +107,22 @@ def write_archives(records: DataFrame, folder: str, date: str = "2024-01-01T00:0
     """Write ``plan_records`` rows under ``folder``; the manifest of finished archives, written too."""
 
     def task(batches):
-        archive, waiting, held = None, [], 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        archive, waiting, held = None, [], 0  # records wait until they are enough to train a dictionary
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for row in chain(rows, [None]):
+            if row is not None:
                 record = _record(*row, date)
-                if archive is None:
-                    waiting.append(record)
-                    held += len(record)
-                    if held < SAMPLE_BYTES:
-                        continue
-                    archive = _Archive(folder, waiting)
-                    for x in waiting:
-                        archive.add(x)
-                    waiting, held = [], 0
-                else:
-                    archive.add(record)
-                if archive.file.size >= file_bytes:
-                    yield archive.close()
-                    archive = None
-        if waiting:
-            archive = _Archive(folder, waiting)
-            for x in waiting:
-                archive.add(x)
+                waiting.append(record)
+                held += len(record)
+            if not waiting or archive is None and row is not None and held < SAMPLE_BYTES:
+                continue
+            archive = archive or _Archive(folder, waiting)
+            for record in waiting:
+                archive.add(record)
+            waiting, held = [], 0
+            if archive.file.size >= file_bytes:
+                yield archive.close()
+                archive = None
         if archive is not None:
             yield archive.close()
 
