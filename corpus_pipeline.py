@@ -58,10 +58,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip): ids as little-endian unsigned 32-bit integers; whether they decode to the text."""
     ship(spark)
-    words = vocabulary(spark)
-    encoded = bpe.encode(docs.select("doc_id", "text"), words)
-    decoded = bpe.decode(encoded, words)
-    return decoded.select("doc_id", "n_tokens", "ids", (F.coalesce("text", F.lit("")) == F.col("decoded_text")).alias("round_trip"))
+    both = bpe.round_trip(docs.select("doc_id", "text"), vocabulary(spark))
+    return both.select("doc_id", "n_tokens", "ids", (F.coalesce("text", F.lit("")).cast("binary") == F.col("decoded")).alias("round_trip"))
 
 
 STAGES = [

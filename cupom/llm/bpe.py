@@ -26,6 +26,7 @@ from __future__ import annotations
 import base64
 import codecs
 import hashlib
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 
 from cupom.llm.common import texts
 
-SPAN, MAX_STATES, MAX_PIECES = 1 << 16, 100_000, 300_000
+SPAN, MAX_STATES, MAX_PIECES, MAX_NEIGHBOURS = 1 << 16, 300_000, 400_000, 150_000
 #: Rows and bytes that one output batch holds at most (a single longer row aside).
 BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 
@@ -62,6 +63,15 @@ class Vocabulary:
             _ENCODERS[self.name, self.pattern] = Encoder(parse_ranks(self.content.value), self.pattern)
         return _ENCODERS[self.name, self.pattern]
 
+    def library(self):
+        """The tokenizer library's own encoder for the same vocabulary: text to an array of ids."""
+        import tiktoken
+
+        if (self.name, self.pattern) not in _LIBRARY:
+            _LIBRARY[self.name, self.pattern] = tiktoken.Encoding(self.name, pat_str=self.pattern, mergeable_ranks=parse_ranks(self.content.value), special_tokens={})
+        encode = _LIBRARY[self.name, self.pattern].encode_ordinary
+        return lambda text: np.concatenate([np.array(encode(s), np.uint32) for s in spans(text)])
+
     def decoder(self) -> Decoder:
         if self.name not in _DECODERS:
             _DECODERS[self.name] = Decoder(parse_ranks(self.content.value))
@@ -71,6 +81,7 @@ class Vocabulary:
 #: Per worker: encoders and decoders by their parameters.
 _ENCODERS: dict = {}
 _DECODERS: dict = {}
+_LIBRARY: dict = {}
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -90,67 +101,112 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        # Trie: a node's children by byte, and the token that ends there.
-        self.children: list[dict[int, int]] = [{}]
+        # Trie: child by (node, byte), token that ends at a node, and whether a node has children.
+        self.child: dict[int, int] = {}
         self.ends: list[int] = [-1]
+        self.inner = bytearray(1)
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                step = self.children[node].get(byte)
+                step = self.child.get(node << 8 | byte)
                 if step is None:
-                    step = self.children[node][byte] = len(self.ends)
-                    self.children.append({})
+                    step = self.child[node << 8 | byte] = len(self.ends)
                     self.ends.append(-1)
+                    self.inner.append(0)
+                    self.inner[node] = 1
                 node = step
             self.ends[node] = rank
-        self.sound: dict[int, bool] = {}  # tokens that merging their own bytes makes
-        self.neighbours: dict[tuple[int, int], bool] = {}
+        self.halves: dict[int, tuple[int, int] | None | bool] = {}
+        self.neighbours: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.start = ((-1, 0, ()),)
-        self.states, self.configurations, self.steps, self.final = {self.start: 0}, [self.start], [{}], [()]
+        # A state is its configurations, flat: last token, node, how many tokens are held, those tokens.
+        start = (-1, 0, 0)
+        self.states: dict[tuple, int] = {start: 0}
+        self.configurations, self.final = [start], [()]
+        #: state << 8 | byte -> next state, or (next state, tokens to emit).
+        self.steps: dict[int, int | tuple[int, tuple[int, ...]]] = {}
+
+    def _halves(self, token: int):
+        """The two tokens whose merge makes ``token`` last; None for a byte; False if merging its bytes doesn't make it."""
+        if token not in self.halves:
+            piece = self.tokens[token]
+            parts = [piece[i : i + 1] for i in range(len(piece))]
+            while len(parts) > 2:
+                best = min(range(len(parts) - 1), key=lambda i: self.ranks.get(parts[i] + parts[i + 1], 1 << 60))
+                if parts[best] + parts[best + 1] not in self.ranks:
+                    break
+                parts[best : best + 2] = [parts[best] + parts[best + 1]]
+            self.halves[token] = None if len(parts) == 1 else (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else False
+        return self.halves[token]
 
     def _fits(self, last: int, token: int) -> bool:
-        """Whether ``token`` may follow ``last`` in an encoding (-1: it begins the piece)."""
-        if token not in self.sound:
-            self.sound[token] = merge(self.tokens[token], self.ranks) == [token]
-        if last < 0 or not self.sound[token]:
-            return self.sound[token]
-        fits = self.neighbours.get((last, token))
+        """Whether ``token`` may follow ``last`` in an encoding (-1: it begins the piece).
+
+        Merges happen by rank, so the two sides are taken apart from the latest merge back; the tokens
+        that then touch must not be a merge that would have come before the one just undone (at the same rank the one
+        further left comes first).
+        """
+        if last < 0:
+            return self._halves(token) is not False
+        pair = last << 20 | token
+        fits = self.neighbours.get(pair)
         if fits is None:
-            if len(self.neighbours) > 16 * MAX_STATES:
+            if len(self.neighbours) >= MAX_NEIGHBOURS:
                 self.neighbours.clear()
-            fits = self.neighbours[last, token] = merge(self.tokens[last] + self.tokens[token], self.ranks) == [last, token]
+            fits = self.neighbours[pair] = self._halves(token) is not False and self._apart(last, token)
         return fits
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Determinise one transition: (next state, tokens that all its configurations share)."""
-        after = []
-        for last, node, held in self.configurations[state]:
-            node = self.children[node].get(byte)
+    def _apart(self, left: int, right: int) -> bool:
+        before = 1 << 60
+        while True:
+            joint = self.ranks.get(self.tokens[left] + self.tokens[right])
+            if joint is not None and joint < before:
+                return False
+            of_left, of_right = self._halves(left), self._halves(right)
+            made_left, made_right = left if of_left else -1, right if of_right else -1
+            if made_left < 0 and made_right < 0:
+                return True
+            if made_left > made_right:
+                left, before = of_left[1], made_left
+            else:
+                right, before = of_right[0], made_right + 1
+
+    def _step(self, state: int, byte: int):
+        """Determinise one transition: the next state, and the tokens that all its configurations share."""
+        child, ends, inner, fits = self.child, self.ends, self.inner, self._fits
+        after, flat, at = [], self.configurations[state], 0
+        while at < len(flat):
+            last, node, n = flat[at : at + 3]
+            held = flat[at + 3 : at + 3 + n]
+            at += 3 + n
+            node = child.get(node << 8 | byte)
             if node is None:
                 continue
-            if self.children[node]:
+            if inner[node]:
                 after.append((last, node, held))
-            token = self.ends[node]
-            if token >= 0 and self._fits(last, token):
+            token = ends[node]
+            if token >= 0 and fits(last, token):
                 after.append((token, 0, (*held, token)))
-        shared = 0
-        shortest = min(len(held) for _, _, held in after)
-        while shared < shortest and len({held[shared] for _, _, held in after}) == 1:
-            shared += 1
-        out = after[0][2][:shared]
-        key = tuple(sorted((last, node, held[shared:]) for last, node, held in after))
+        shared, first = min(len(held) for _, _, held in after), after[0][2]
+        for _, _, held in after:
+            while first[:shared] != held[:shared]:
+                shared -= 1
+        key = []
+        final = ()
+        for last, node, held in sorted(after):
+            key += (last, node, len(held) - shared, *held[shared:])
+            if node == 0:  # one configuration has just ended a token: the piece may end here
+                final = held[shared:]
+        key = tuple(key)
         number = self.states.get(key)
         if number is None:
             number = self.states[key] = len(self.configurations)
             self.configurations.append(key)
-            self.steps.append({})
-            # One configuration has just ended a token: the piece may end here.
-            self.final.append(next(held for _, node, held in key if node == 0))
-        self.steps[state][byte] = (number, out)
-        return number, out
+            self.final.append(final)
+        step = self.steps[state << 8 | byte] = (number, first[:shared]) if shared else number
+        return step
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -158,14 +214,16 @@ class Transducer:
             return [whole]
         if len(self.configurations) > MAX_STATES:
             self._reset()
-        state, out = 0, []
+        state, out, step_of = 0, [], self.steps.get
         for byte in piece:
-            step = self.steps[state].get(byte)
+            step = step_of(state << 8 | byte)
             if step is None:
                 step = self._step(state, byte)
-            state = step[0]
-            if step[1]:
-                out += step[1]
+            if step.__class__ is int:
+                state = step
+            else:
+                state, shared = step
+                out += shared
         out += self.final[state]
         return out
 
@@ -195,7 +253,8 @@ class Encoder:
     def piece(self, piece: str) -> bytes:
         if len(self.seen) >= MAX_PIECES:
             self.seen.clear()
-        ids = np.array(self.transducer.encode(piece.encode()), "<u4").tobytes()
+        ids = self.transducer.encode(piece.encode())
+        ids = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
             self.seen[piece] = ids
         return ids
@@ -278,3 +337,25 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", keep_id
             yield from _batched(rows, [*stay, "decoded", "decoded_text"], [pa.binary(), pa.string()], batch.columns[:-1])
 
     return source.mapInArrow(task, schema)
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``docs`` with ``n_tokens``, ``ids`` and ``decoded`` (bytes, from the ids alone)."""
+    results = ("n_tokens", "ids", "decoded")
+    stay = [c for c in docs.columns if c.lower() not in results and (keep_text or c != text)]
+    schema = T.StructType([docs.schema[c] for c in stay] + [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
+    source = docs.select(*stay, docs[text].cast("string").alias("_bpe_text"))
+
+    def task(batches):
+        write, read = vocabulary.encoder().encode, vocabulary.decoder().stream
+
+        def row(body):
+            ids = write(body)
+            decoded = "".join(part for _, part in read(ids)).encode()
+            return len(ids) // 4, ids, decoded, len(ids) + len(decoded)
+
+        for batch in batches:
+            rows = map(row, texts(batch.column(batch.num_columns - 1)))
+            yield from _batched(rows, [*stay, *results], [pa.int64(), pa.binary(), pa.binary()], batch.columns[:-1])
+
+    return source.mapInArrow(task, schema)

@@ -93,11 +93,8 @@ def op4_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = vocabulary(spark)
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), words, keep_text=False)
-    hashed = encoded.withColumn("ids_sha256", F.sha2("ids", 256))
-    decoded = bpe.decode(hashed, words, keep_ids=False)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(spark), keep_text=False)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op8_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,3 +197,6 @@ def test_encode_and_decode_tables(docs):
     assert sorted((r.doc_id or 0, r.decoded_text) for r in out) == sorted((d or 0, t or "") for d, t in rows)
     assert all(r.n_tokens == len(r.ids) // 4 and r.kept == "given" for r in out)
     assert bpe.decode(bpe.encode(docs([]), words), words).count() == 0
+    both = bpe.round_trip(table, words).collect()
+    assert sorted((r.doc_id or 0, bytes(r.decoded).decode(), bytes(r.ids)) for r in both) == sorted((r.doc_id or 0, r.decoded_text, bytes(r.ids)) for r in out)
+    assert bpe.round_trip(docs([]), words).count() == 0
