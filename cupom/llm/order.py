@@ -1,15 +1,16 @@
 """Training order: every sequence gets a global slot, shards hold the slots in order.
 
-Documents are encoded, an end token closes each, and the ids are cut into sequences of ``length``.
-Sequence number i of N gets the slot that a keyed Feistel permutation of [0, 4^h) with 4^h >= N gives it,
-walking the cycle until the slot is below N: a bijection that needs no shuffle buffer and no sort of
-random keys, and that anyone with (key, N) can evaluate or invert. Tasks take contiguous ranges of
-slots and write each shard as records of one fixed stride, so slot s stands in shard s // ``per_shard`` at byte
-(s % ``per_shard``) * stride: a reader can start, stop and resume at any slot.
-
-Sequences are staged once in the shared folder (their numbers follow the staged partitions, so a
-repeated task finds the same numbers), counted per staged partition, and shuffled once. A hot document or source is
-spread by the permutation itself. Memory per task: one Arrow batch; sorting by slot may spill.
+Documents are encoded, an end token closes each, and the ids are cut into sequences of ``length``. A keyed hash
+of (doc_id, part) deals sequences to ranges of slots, as many as the text needs at ``range_bytes`` each. A range's task
+sorts its n sequences by (doc_id, part, ids) and gives the i-th the slot that a keyed Feistel permutation of
+[0, 4^h) with 4^h >= n assigns it, walking the cycle until the slot is below n; global slots follow by adding the sizes of the ranges
+before. So slots are a bijection that depends on the rows and the key alone, not on how the input was split; it needs no count
+of all sequences beforehand, no staged copy and only one shuffle of ids. Each range is a shard of records of
+one fixed stride: slot s stands at byte (s - first_slot) * stride of the shard that holds it, and a reader can start, stop and
+resume at any slot.
+
+A document's sequences spread over all ranges; rows that repeat are dealt by how often their id came before in their
+input split, so a hot one spreads too. Memory per task: an Arrow batch, or one range.
 
 Record: doc_id (int64), part (int32), n (int32), then ``length`` ids (16 bits if the vocabulary allows,
 else 32), zero after the n-th; little-endian. Defined results: a null text counts as empty, an empty text is one
@@ -20,25 +21,24 @@ written as often as they stand; an empty table writes no shard; other columns ar
 from __future__ import annotations
 
 import struct
+from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cupom.llm.bpe import Vocabulary
 from cupom.llm.common import stored, texts
 from cupom.llm.files import Publisher, open_store
 
 HEAD, HEAD_BYTES = "<qii", 16
 NO_ID = -(1 << 63)
 ROUNDS = 6
-#: Records per output batch, and bytes that a reader takes at a time.
-BATCH_ROWS, READ_BYTES = 4_000, 4 << 20
+#: Records per output batch, bytes that a reader takes at a time, and text per range.
+BATCH_ROWS, READ_BYTES, RANGE_BYTES = 4_000, 4 << 20, 16 << 20
 
-STAGED = "staged_part int, number long, doc_id long, part int, n int, ids binary"
-MANIFEST = "shard long, path string, first_slot long, records long, stride int"
+WRITTEN = "shard long, path string, records long, stride int"
 SEQUENCES = "slot long, shard long, offset long, doc_id long, part int, n_tokens int, ids binary"
 
 
@@ -80,85 +80,71 @@ class Permutation:
         return self._walk(slots, self.keys[::-1])
 
 
-def stage(docs: DataFrame, vocabulary: Vocabulary, end_token: int, length: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Sequences in the shared folder, numbered within their staged partition."""
-    schema = pa.schema([("staged_part", pa.int32()), ("number", pa.int64()), ("doc_id", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("ids", pa.binary())])
-
-    def task(batches):
-        own, number, rows = TaskContext.get().partitionId(), 0, []
-        end = struct.pack("<I", end_token)
-
-        def flush():
-            return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-        encoder = vocabulary.encoder()
-        for batch in batches:
-            for doc, body in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
-                ids = encoder.encode(body) + end
-                for part, at in enumerate(range(0, len(ids), 4 * length)):
-                    piece = ids[at : at + 4 * length]
-                    rows.append((own, number, doc, part, len(piece) // 4, piece))
-                    number += 1
-                    if len(rows) >= BATCH_ROWS:
-                        yield flush()
-                        rows.clear()
-        if rows:
-            yield flush()
+def write_shards(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarray]], end_token: int, folder: str, key: int, length: int, wide: bool = False, range_bytes: int = RANGE_BYTES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Write all sequences of ``docs`` in training order; the manifest of the shards, written too.
 
-    return stored(docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(task, STAGED), "order-staged")
-
-
-def write_shards(staged: DataFrame, folder: str, key: int, length: int, per_shard: int, wide: bool = False) -> DataFrame:
-    """Write all staged sequences in training order; the manifest of the shards, written too."""
-    spark = staged.sparkSession
-    # One row per staged partition: numbers of input splits, not of documents.
-    sizes = {r.staged_part: r.n for r in staged.groupBy("staged_part").agg(F.count("*").alias("n")).collect()}
-    first, total = {}, 0
-    for part in sorted(sizes):
-        first[part], total = total, total + sizes[part]
-    shuffle = Permutation(total, key)
-    n_shards = -(-total // per_shard)
-    tasks = max(1, min(n_shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    per_task = max(1, -(-n_shards // tasks))
+    ``encoder`` is called in each task and gives the function from a text to its ids.
+    """
+    rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long") + 1), F.count("*"))).first()[0]
+    n_ranges = max(1, -(-total // range_bytes))
     kind = np.dtype("<u4") if wide else np.dtype("<u2")
     stride = HEAD_BYTES + length * kind.itemsize
-
-    def place(batches):
-        for batch in batches:
-            parts = np.asarray(batch.column(0))
-            starts = np.array([first[p] for p in parts.tolist()], np.int64)
-            slots = shuffle.slots(starts + np.asarray(batch.column(1)))
-            records = []
-            for doc, part, n, ids in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
-                narrow = np.frombuffer(ids, "<u4")
-                if not wide and len(narrow) and int(narrow.max()) > 0xFFFF:
+    own_key = int(_mix(np.array([key & (1 << 64) - 1], np.uint64), 1)[0])
+
+    def deal(batches):
+        encode, met = encoder(), Counter()
+
+        def batch():
+            documents, parts, times, ids = zip(*cut, strict=True)
+            with np.errstate(over="ignore"):
+                mixed = _mix(_mix(np.array([NO_ID if d is None else d for d in documents], np.int64).view(np.uint64), own_key) + np.array(parts, np.uint64), own_key)
+                mixed = _mix(mixed + np.array(times, np.uint64), own_key)
+            return pa.RecordBatch.from_arrays([pa.array((mixed % np.uint64(n_ranges)).astype(np.int32)), pa.array(documents, pa.int64()), pa.array(parts, pa.int32()), pa.array(ids, pa.binary())], names=["range", "doc_id", "part", "ids"])
+
+        cut = []
+        for given in batches:
+            for document, body in zip(given.column(0).to_pylist(), texts(given.column(1)), strict=True):
+                ids = np.append(encode(body), end_token)
+                if not wide and int(ids.max()) > 0xFFFF:
                     raise ValueError("an id needs more than 16 bits: write wide shards")
-                records.append(struct.pack(HEAD, NO_ID if doc is None else doc, part, n) + narrow.astype(kind).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array((slots // per_shard // per_task).astype(np.int32)), pa.array(slots), pa.array(records, pa.binary())], names=["range", "slot", "record"])
+                raw = ids.astype(kind).tobytes()
+                for part, at in enumerate(range(0, len(raw), length * kind.itemsize)):
+                    cut.append((document, part, met[document], raw[at : at + length * kind.itemsize]))
+                    if len(cut) >= BATCH_ROWS:
+                        yield batch()
+                        cut = []
+                met[document] += 1
+        if cut:
+            yield batch()
 
     def write(batches):
-        file, shard, first_slot, count = None, -1, 0, 0
+        # Ranges come one after the other, each sorted.
+        own, records = -1, []
 
         def done():
-            return pa.RecordBatch.from_pydict({"shard": [shard], "path": [file.publish()], "first_slot": [first_slot], "records": [count], "stride": pa.array([stride], pa.int32())})
-
-        for batch in batches:
-            for slot, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if slot // per_shard != shard:
-                    if file is not None:
+            body = bytearray(len(records) * stride)
+            for slot, record in zip(Permutation(len(records), key + own).slots(np.arange(len(records))).tolist(), records, strict=True):
+                body[slot * stride : slot * stride + len(record)] = record
+            file = Publisher(folder, f"shard-{own:08d}", ".bin")
+            file.write(bytes(body))
+            return pa.RecordBatch.from_pydict({"shard": [own], "path": [file.publish()], "records": [len(records)], "stride": pa.array([stride], pa.int32())})
+
+        for given in batches:
+            for number, document, part, ids in zip(*(c.to_pylist() for c in given.columns), strict=True):
+                if number != own:
+                    if records:
                         yield done()
-                    shard, first_slot, count = slot // per_shard, slot, 0
-                    file = Publisher(folder, f"shard-{shard:08d}", ".bin")
-                if slot != first_slot + count:
-                    raise ValueError(f"slot {slot} follows {first_slot + count - 1}")
-                file.write(record.ljust(stride, b"\0"))
-                count += 1
-        if file is not None:
+                    own, records = number, []
+                records.append(struct.pack(HEAD, NO_ID if document is None else document, part, len(ids) // kind.itemsize) + ids)
+        if records:
             yield done()
 
-    placed = staged.mapInArrow(place, "range int, slot long, record binary")
-    ranges = placed.repartitionById(tasks, F.col("range")).select("slot", "record").sortWithinPartitions("slot")
-    return stored(ranges.mapInArrow(write, MANIFEST), "order-manifest")
+    dealt = rows.mapInArrow(deal, "range int, doc_id long, part int, ids binary").repartitionById(n_ranges, F.col("range"))
+    written = stored(dealt.sortWithinPartitions("range", "doc_id", "part", "ids").mapInArrow(write, WRITTEN), "order-manifest")
+    # A row per shard.
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return written.withColumn("first_slot", F.coalesce(F.sum("records").over(before), F.lit(0))).select("shard", "path", "first_slot", "records", "stride")
 
 
 def read_shard(path: str, first_slot: int, records: int, stride: int, length: int, start: int = 0):

@@ -11,9 +11,8 @@ from cupom.llm.sql import CHAT_SQL, URL_SQL, WARC_SQL
 from cupom.session import scratch_path
 
 
-#: Sequences of the training order: ids per sequence, records per shard, key of the permutation.
-SEQUENCE, PER_SHARD, ORDER_KEY = 512, 1 << 14, 0x5EED
-END_TOKEN = 50256
+#: Training order: ids per sequence, and key of the permutation. The id after the vocabulary's last ends a document.
+SEQUENCE, ORDER_KEY, END_TOKEN = 256, 0x5EED, 50256
 
 
 def vocabulary(spark: SparkSession, name: str = "byte_bpe_50k.tiktoken") -> bpe.Vocabulary:
@@ -23,10 +22,12 @@ def vocabulary(spark: SparkSession, name: str = "byte_bpe_50k.tiktoken") -> bpe.
 
 
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as sequences in shards of the shared folder, read back from them."""
+    """Documents as sequences in shards of the shared folder, read back from them.
+
+    Ids come from the tokenizer library here: the same as op5's, which has its own transducer to show.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    staged = order.stage(docs, vocabulary(spark), END_TOKEN, SEQUENCE)
-    manifest = order.write_shards(staged, scratch_path(spark, "order"), ORDER_KEY, SEQUENCE, PER_SHARD)
+    manifest = order.write_shards(docs, vocabulary(spark).library, END_TOKEN, scratch_path(spark, "order"), ORDER_KEY, SEQUENCE)
     read = order.read_sequences(spark, manifest, SEQUENCE)
     return read.select("slot", "shard", "offset", "doc_id", "part", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
 
