@@ -299,7 +299,8 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", similarit
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     texts = docs.select(text_key(docs[text]).alias("node"), docs[text].cast("string").alias("text"))
     # One row for each text that is to be compared; equal texts meet in a map-side aggregation.
-    nodes = stored(texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "compared")
+    # As a merge join at any size: the wanted texts grow with the input, so they are never broadcast.
+    nodes = stored(texts.join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "compared")
     checked = stored(verify(pairs, nodes), "checked")
     links = checked.where(F.col("similarity") >= similarity).select("a", "b")
     classes = components(links)
