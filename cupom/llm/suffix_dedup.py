@@ -7,15 +7,16 @@ anchors. Text is kept in blocks of ``BLOCK`` bytes or so, one row each, and bloc
 
 1. every block sends the distinct hashes of its anchors; a bucket answers with a bit for each that another block has too;
 2. for those anchors (and those that several of its documents share) a block sends the text around them once per distinct
-   context, with the smallest id that has it; a bucket sorts all ``LENGTH``-byte suffixes of its contexts, finds the smallest id of each
+   context, with the smallest id that has it; a bucket sorts all ``LENGTH``-byte suffixes of its distinct contexts, finds the smallest id of each
    distinct one, and answers with a bit for each: does a smaller id have it than the smallest of the context?
 3. the block removes what is covered.
 
 The sort is deep-shallow: multikey quicksort on eight-byte letters down to ``SHALLOW`` bytes, level by level over all
 groups at once; groups that still tie are ordered by blind tries of their distinct rests. A group that a third
-of all documents shares sends one context per block, so no bucket gets it whole. Messages are
-proportional to the text and go through ordinary shuffles; blocks and messages that are read twice are written to the
-shared folder. A task holds one block, or one bucket's messages (their number grows with the text).
+of all documents shares sends one context per block, so no bucket gets it whole. Messages to buckets are
+proportional to the text and go through ordinary shuffles. Blocks are written to the shared folder once and never shuffled: answers are
+grouped by block and posted as one small file per block beside them, complete before the step that reads them starts, under names that a
+repeated task finds again. A task holds one block, or one bucket's messages (the number of buckets grows with the text).
 
 Defined results: a null text is empty; a null id counts as larger than any; rows with equal ids don't
 remove from each other; texts below ``LENGTH`` bytes stay whole; empty tables give no rows; all given columns stay, the text
@@ -25,22 +26,28 @@ entirely), those named like a result are replaced.
 
 from __future__ import annotations
 
+import pickle
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import zstandard as zstd
+from pyarrow.fs import FileType
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cupom.llm.common import stored, text_bytes
+from cupom.llm.files import open_store
 from cupom.llm.words import _BASE, _VALUES, groups, powers
+from cupom.session import scratch_path
 
-LENGTH, GRAM, SHALLOW = 50, 24, 24
+LENGTH, GRAM, SHALLOW = 50, 32, 24
 WINDOW = LENGTH - GRAM + 1
-BLOCK, CHUNK, SLICE = 8 << 20, 1 << 21, 1 << 22
+BLOCK, CHUNK, SLICE = 8 << 20, 1 << 20, 1 << 20
 #: Text per bucket.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 RESULTS = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
 NO_ID = np.iinfo(np.int64).max
 
@@ -76,7 +83,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     last = np.maximum(offsets[1:] - LENGTH + 1, offsets[:-1])
     np.add.at(change, offsets[:-1], 1)
     np.add.at(change, last, -1)
-    valid = np.cumsum(change[:-1]) > 0
+    valid = np.cumsum(change[:-1], dtype=np.int32) > 0
     out = []
     mask = np.uint64((1 << 22) - 1)
     for start in range(0, n, CHUNK):
@@ -314,17 +321,13 @@ def answer(table: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array(out["block"], pa.int64()), "bucket": pa.array(out["bucket"], pa.int64()), "bits": pa.array(out["bits"], pa.binary())})
 
 
-def contexts(block: pa.Table, answers: pa.Table, n_buckets: int) -> pa.Table:
-    """Step 2: contexts of shared anchors by bucket, and a row with bucket -1 that says where they stand."""
-    kept = {"bucket": [], "block": [], "message": []}
-    if block.num_rows == 0:
-        return pa.table({"bucket": pa.array([], pa.int64()), "block": pa.array([], pa.int64()), "message": pa.array([], pa.binary())})
-    name = block.column("block")[0].as_py()
-    ids, offsets, data = _open(block.column("texts")[0].as_py())
+def contexts(texts: bytes, answers: list[tuple[int, bytes]], n_buckets: int):
+    """Step 2: (messages by bucket with contexts of shared anchors, where they stand in the block or None)."""
+    ids, offsets, data = _open(texts)
     hashes, first, number, text = anchors(data, offsets)
     distinct, bounds, place = _asked(hashes, n_buckets)
     shared = np.zeros(len(distinct), bool)
-    for bucket, bits in zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist(), strict=True):
+    for bucket, bits in answers:
         a, b = int(bounds[bucket]), int(bounds[bucket + 1])
         shared[a:b] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a).astype(bool)
     # Anchors that several texts of this block have.
@@ -333,32 +336,44 @@ def contexts(block: pa.Table, answers: pa.Table, n_buckets: int) -> pa.Table:
     np.maximum.at(high, place, text)
     shared |= low < high
     mine = np.flatnonzero(shared[place])
-    if len(mine):
-        hashes, first, number, text = hashes[mine], first[mine], number[mine], text[mine]
-        with np.errstate(over="ignore"):
-            content = _mix(range_hashes(data, first, number + LENGTH - 1) + hashes * np.uint64(3) + number.astype(np.uint64))
-        _, sample, which = np.unique(content, return_index=True, return_inverse=True)
-        bucket = _dealt(hashes[sample], n_buckets)[0]
-        # Contexts in the order of their buckets; ``which`` says for each anchor which context it has.
-        order = np.argsort(bucket, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        which, sample, bucket = rank[which], sample[order], bucket[order]
-        least = np.full(len(sample), NO_ID)
-        np.minimum.at(least, which, ids[text])
-        ends = np.searchsorted(bucket, np.arange(n_buckets + 1))
-        for k in np.unique(bucket).tolist():
-            part = sample[ends[k] : ends[k + 1]]
-            body = data[ragged(first[part], number[part] + LENGTH - 1)]
-            kept["bucket"].append(k)
-            kept["block"].append(name)
-            kept["message"].append(_pack(number[part].astype(np.uint8), least[ends[k] : ends[k + 1]], body))
-        kept["bucket"].append(-1)
-        kept["block"].append(name)
-        per_context = number[sample]
-        per_bucket = np.bincount(bucket, per_context, n_buckets).astype(np.int64)
-        kept["message"].append(_pack(first.astype(np.int64), number.astype(np.uint8), which.astype(np.int32), per_context.astype(np.uint8), per_bucket[per_bucket > 0], ids[text] > least[which]))
-    return pa.table({"bucket": pa.array(kept["bucket"], pa.int64()), "block": pa.array(kept["block"], pa.int64()), "message": pa.array(kept["message"], pa.binary())})
+    if len(mine) == 0:
+        return [], None
+    hashes, first, number, text = hashes[mine], first[mine], number[mine], text[mine]
+    with np.errstate(over="ignore"):
+        content = _mix(range_hashes(data, first, number + LENGTH - 1) + hashes * np.uint64(3) + number.astype(np.uint64))
+    _, sample, which = np.unique(content, return_index=True, return_inverse=True)
+    bucket = _dealt(hashes[sample], n_buckets)[0]
+    # Contexts in the order of their buckets; ``which`` says for each anchor which context it has.
+    order = np.argsort(bucket, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    which, sample, bucket = rank[which], sample[order], bucket[order]
+    least = np.full(len(sample), NO_ID)
+    np.minimum.at(least, which, ids[text])
+    ends = np.searchsorted(bucket, np.arange(n_buckets + 1))
+    messages = []
+    for k in np.unique(bucket).tolist():
+        part = sample[ends[k] : ends[k + 1]]
+        body = data[ragged(first[part], number[part] + LENGTH - 1)]
+        messages.append((k, _pack(number[part].astype(np.uint8), least[ends[k] : ends[k + 1]], body)))
+    per_context = number[sample]
+    per_bucket = np.bincount(bucket, per_context, n_buckets).astype(np.int64)
+    return messages, _pack(first.astype(np.int64), number.astype(np.uint8), which.astype(np.int32), per_context.astype(np.uint8), per_bucket[per_bucket > 0], ids[text] > least[which])
+
+
+def same_contexts(body: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one context of each kind, kind of every context): grouped by hash, then compared byte for byte."""
+    with np.errstate(over="ignore"):
+        _, sample, kind = np.unique(range_hashes(body, starts, lengths) + lengths.astype(np.uint64), return_index=True, return_inverse=True)
+    eights, own = _eights(body), sample[kind]
+    differ = lengths != lengths[own]
+    for at in range(0, int(lengths.max()), 8):
+        # The last eight bytes of a context, where less than eight are left.
+        i = np.minimum(at, np.maximum(lengths - 8, 0))
+        differ |= eights[starts + i] != eights[starts[own] + i]
+    odd = np.flatnonzero(differ)  # of equal hash but different: each is a kind of its own
+    kind[odd] = len(sample) + np.arange(len(odd))
+    return np.concatenate([sample, odd]), kind
 
 
 def smallest(table: pa.Table) -> pa.Table:
@@ -368,24 +383,75 @@ def smallest(table: pa.Table) -> pa.Table:
     number = np.concatenate([n for n, _, _ in opened]).astype(np.int64)
     least = np.concatenate([x for _, x, _ in opened])
     body = np.concatenate([*(x for _, _, x in opened), np.zeros(8, np.uint8)])
-    # Strings start at the first ``number`` places of each context.
     lengths = number + LENGTH - 1
-    starts = ragged(np.cumsum(lengths) - lengths, number)
-    owner = np.repeat(least, number)
+    first = np.cumsum(lengths) - lengths
+    sample, kind = same_contexts(body, first, lengths)
+    owner = np.full(len(sample), NO_ID)
+    np.minimum.at(owner, kind, least)
+    # Strings start at the first ``number`` places of each context.
+    starts = ragged(first[sample], number[sample])
     order, group = deep_shallow(body, starts)
     heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    minimum = np.minimum.reduceat(owner[order], heads)[group]
-    smaller = np.empty(len(starts), bool)
-    smaller[order] = minimum < owner[order]
+    minimum = np.empty(len(starts), np.int64)
+    minimum[order] = np.minimum.reduceat(np.repeat(owner, number[sample])[order], heads)[group]
+    begin = np.cumsum(number[sample]) - number[sample]
+    smaller = minimum[ragged(begin[kind], number)] < np.repeat(least, number)
     bits, at = [], 0
     for n, _, _ in opened:
         size = int(n.sum(dtype=np.int64))
         bits.append(np.packbits(smaller[at : at + size]).tobytes())
         at += size
-    return pa.table({"block": pa.array(blocks, pa.int64()), "bucket": pa.array(buckets, pa.int64()), "message": pa.array(bits, pa.binary())})
+    return pa.table({"block": pa.array(blocks, pa.int64()), "bucket": pa.array(buckets, pa.int64()), "bits": pa.array(bits, pa.binary())})
+
+
+# ---------------------------------------------------------------- post between buckets and blocks
+
+
+def _post_path(folder: str, kind: str, block: int) -> str:
+    return f"{folder}/{kind}-{block}"
+
 
+def post(folder: str, kind: str, block: int, content: bytes) -> None:
+    """Leave a block's post under its name: written aside and moved there whole; a repeated task replaces it by the same."""
+    fs, path = open_store(_post_path(folder, kind, block))
+    fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    aside = f"{path}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(aside, compression=None) as f:
+        f.write(content)
+    if fs.get_file_info(path).type != FileType.NotFound:
+        fs.delete_file(path)
+    fs.move(aside, path)
 
-def removed(ids: np.ndarray, offsets: np.ndarray, where: bytes | None, answers: list[tuple[int, bytes]]) -> np.ndarray:
+
+def fetch(folder: str, kind: str, block: int) -> bytes | None:
+    """A block's post; None if it has none."""
+    fs, path = open_store(_post_path(folder, kind, block))
+    if fs.get_file_info(path).type == FileType.NotFound:
+        return None
+    with fs.open_input_stream(path, compression=None) as f:
+        return f.read()
+
+
+def _posted(messages: DataFrame, folder: str, kind: str) -> None:
+    """Group (block, bucket, bits) rows by block and post them; done when this returns."""
+
+    def task(table: pa.Table) -> pa.Table:
+        if table.num_rows == 0:
+            return pa.table({"block": pa.array([], pa.int64())})
+        block = table.column("block")[0].as_py()
+        rows = sorted(zip(table.column("bucket").to_pylist(), table.column("bits").to_pylist(), strict=True))
+        post(folder, kind, block, pickle.dumps(rows))
+        return pa.table({"block": [block]})
+
+    messages.groupBy("block").applyInArrow(task, "block long").agg(F.count("*")).collect()
+
+
+def _answers(folder: str, kind: str, block: int) -> list[tuple[int, bytes]]:
+    content = fetch(folder, kind, block)
+    return pickle.loads(content) if content else []
+
+
+def removed(offsets: np.ndarray, where: bytes | None, answers: list[tuple[int, bytes]]) -> np.ndarray:
     """Step 3: mask of a block's removed bytes."""
     n = int(offsets[-1])
     if where is None:
@@ -400,11 +466,11 @@ def removed(ids: np.ndarray, offsets: np.ndarray, where: bytes | None, answers:
     smaller = np.concatenate(bits)
     at = ragged((sizes - per_context)[which], number)
     gone = smaller[at] | np.repeat(later, number)
-    change = np.zeros(n + 1, np.int64)
+    change = np.zeros(n + 1, np.int32)
     start = ragged(first, number)[gone]
     np.add.at(change, start, 1)
     np.add.at(change, start + LENGTH, -1)
-    return np.cumsum(change[:-1]) > 0
+    return np.cumsum(change[:-1], dtype=np.int32) > 0
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK) -> DataFrame:
@@ -420,47 +486,54 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes:
     blocks = stored(source.mapInArrow(lambda b: _block_rows(b, n_others, block_bytes), "block long, n_bytes long, texts binary, columns binary"), "blocks")
     total = blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     n_buckets = max(2 * spark.sparkContext.defaultParallelism, total // BUCKET_BYTES)
+    folder = scratch_path(spark, "block-post")
     bodies = blocks.select("block", "texts")
     asked = bodies.mapInArrow(lambda b: ask(b, n_buckets), "bucket long, block long, hashes binary")
-    answers = asked.groupBy("bucket").applyInArrow(answer, "block long, bucket long, bits binary")
-    sent = stored(
-        bodies.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda block, bits: contexts(block, bits, n_buckets), "bucket long, block long, message binary"),
-        "contexts",
-    )
-    found = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(smallest, "block long, bucket long, message binary")
-    told = sent.where("bucket < 0").select("block", "bucket", "message").unionByName(found)
+    _posted(asked.groupBy("bucket").applyInArrow(answer, "block long, bucket long, bits binary"), folder, "shared")
+
+    def send(batches):
+        for batch in batches:
+            for block, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                messages, where = contexts(body, _answers(folder, "shared", block), n_buckets)
+                if where is not None:
+                    post(folder, "where", block, where)
+                for at in range(0, len(messages), 256):
+                    part = messages[at : at + 256]
+                    yield pa.RecordBatch.from_pydict({"bucket": [k for k, _ in part], "block": [block] * len(part), "message": [m for _, m in part]})
+
+    sent = bodies.mapInArrow(send, "bucket long, block long, message binary")
+    _posted(sent.groupBy("bucket").applyInArrow(smallest, "block long, bucket long, bits binary"), folder, "smaller")
     place = stay.index(text)
 
-    def finish(block: pa.Table, messages: pa.Table) -> pa.Table:
-        columns = [[] for _ in range(6)]
-        others_ = None
-        if block.num_rows:
-            ids, offsets, data = _open(block.column("texts")[0].as_py())
-            rows = list(zip(messages.column("bucket").to_pylist(), messages.column("message").to_pylist(), strict=True))
-            gone = removed(ids, offsets, next((m for k, m in rows if k < 0), None), [x for x in rows if x[0] >= 0])
-            edge = np.flatnonzero(np.concatenate([[False], gone]) != np.concatenate([gone, [False]]))
-            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                own = gone[a:b]
-                turns = edge[np.searchsorted(edge, a, "right") : np.searchsorted(edge, b, "left")] - a
-                # A run that begins or ends with the text has no turn inside it; one that touches a neighbour's neither.
-                if b > a and own[0]:
-                    turns = np.concatenate([[0], turns])
-                if b > a and own[-1]:
-                    turns = np.concatenate([turns, [b - a]])
-                kept = data[a:b][~own].tobytes()
-                runs = turns.reshape(-1, 2).tolist()
-                for c, v in zip(columns, (b - a, int(own.sum()), len(runs), [{"start": s, "end": e} for s, e in runs], kept, kept.decode("utf-8", "ignore")), strict=True):
-                    c.append(v)
-            with pa.ipc.open_stream(zstd.ZstdDecompressor().decompress(block.column("columns")[0].as_py())) as stream:
-                others_ = stream.read_all().combine_chunks()
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), pa.string()]
-        made = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-        body = made.pop()
-        given = [others_.column(i) for i in range(n_others)] if others_ is not None else [pa.array([], k) for k in other_types]
-        given.insert(place, body)
-        return pa.table([*given, *made], names=[*stay, *RESULTS])
-
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    other_types = [to_arrow_type(docs.schema[c].dataType) for c in others]
-    return blocks.select("block", "texts", "columns").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(finish, schema)
+    def finish(batches):
+        for batch in batches:
+            for block, body, columns in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                yield _finished(body, columns, fetch(folder, "where", block), _answers(folder, "smaller", block), place, [*stay, *RESULTS])
+
+    return blocks.select("block", "texts", "columns").mapInArrow(finish, schema)
+
+
+def _finished(texts: bytes, columns: bytes, where: bytes | None, answers: list, place: int, names: list[str]) -> pa.RecordBatch:
+    """A block's rows with reduced texts and results."""
+    ids, offsets, data = _open(texts)
+    gone = removed(offsets, where, answers)
+    edge = np.flatnonzero(np.concatenate([[False], gone]) != np.concatenate([gone, [False]]))
+    made = [[] for _ in range(6)]
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        own = gone[a:b]
+        turns = edge[np.searchsorted(edge, a, "right") : np.searchsorted(edge, b, "left")] - a
+        # A run that begins or ends with the text has no turn inside it.
+        if b > a and own[0]:
+            turns = np.concatenate([[0], turns])
+        if b > a and own[-1]:
+            turns = np.concatenate([turns, [b - a]])
+        kept = data[a:b][~own].tobytes()
+        runs = turns.reshape(-1, 2).tolist()
+        for c, v in zip(made, (b - a, int(own.sum()), len(runs), [{"start": s, "end": e} for s, e in runs], kept, kept.decode("utf-8", "ignore")), strict=True):
+            c.append(v)
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), pa.string()]
+    arrays = [pa.array(c, k) for c, k in zip(made, kinds, strict=True)]
+    body = arrays.pop()
+    with pa.ipc.open_stream(zstd.ZstdDecompressor().decompress(columns)) as stream:
+        given = stream.read_next_batch().columns
+    return pa.RecordBatch.from_arrays([*given[:place], body, *given[place:], *arrays], names=names)
