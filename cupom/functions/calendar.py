@@ -11,7 +11,7 @@ per year and offset by a tiny per-year prefix sum, so no window ever runs over t
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 
 from cupom.functions.coerce import ensure_date
 
-# Margin added past the last date a shift may need, so a run of holidays still finds a business day.
-SHIFT_MARGIN_DAYS = 62
+# Days past the last date a shift may need, so that a run of holidays still finds a business day.
+RUN_DAYS = 62
 
 DAY_SCHEMA = T.StructType([T.StructField("d", T.DateType(), False)])
 
@@ -177,15 +177,15 @@ def business_15th(months: DataFrame, month_col: str, index: DataFrame, out: str
     return roll_forward(f, "_15", index, out).drop("_15")
 
 
-def index_bounds(first: date, last: date) -> tuple[date, date]:
-    """Spine bounds covering ``first`` − 1 month … ``last`` + 1 month + the shift margin."""
-    return add_months_py(first, -1), add_months_py(last, 2) + timedelta(days=SHIFT_MARGIN_DAYS)
+def spine_for(dates: DataFrame, col: str, reach: int = 0) -> DataFrame:
+    """Consecutive days around ``col`` for shifts of up to ``reach`` business days either way, computed on the
+    cluster from the frame's own bounds (no driver round trip).
 
-
-def spine_for(dates: DataFrame, col: str) -> DataFrame:
-    """Consecutive days covering ``col`` − 1 month … ``col`` + 2 months + margin, computed on the
-    cluster from the frame's own bounds (no driver round trip)."""
+    A week has five weekdays, and a run of holidays is taken to last a month at most, so ``reach`` business days lie within
+    7/5 ``reach`` + 62 calendar days (the months on both sides serve the business 15ths).
+    """
+    margin = RUN_DAYS + -(-7 * abs(reach) // 5)
     b = dates.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    b = b.select(F.add_months(F.trunc("lo", "MM"), -1).alias("lo"),
-                 F.date_add(F.add_months(F.trunc("hi", "MM"), 2), SHIFT_MARGIN_DAYS).alias("hi"))
+    b = b.select(F.date_sub(F.add_months(F.trunc("lo", "MM"), -1), margin).alias("lo"),
+                 F.date_add(F.add_months(F.trunc("hi", "MM"), 2), margin).alias("hi"))
     return days_between(b, "lo", "hi", "d").select("d")

@@ -29,26 +29,22 @@ def coverage_gaps(requested: DataFrame, loaded: DataFrame | None, found: DataFra
     return enforce.join(found.select(col).distinct(), col, "left_anti")
 
 
-def skipped_dates(requested: DataFrame, loaded: DataFrame, col: str) -> DataFrame:
-    """U4: requested dates without a loaded partition."""
-    return requested.select(col).distinct().join(loaded.select(col).distinct(), col, "left_anti")
+def raise_if_gaps(gaps: DataFrame, col: str, what: str) -> None:
+    """M10 guard: ValueError with the number of missing dates and the first 50 of them."""
+    first = [str(r[0]) for r in gaps.orderBy(col).limit(50).collect()]
+    if first:
+        raise MissingDatesError(f"{what} has no rows for {gaps.count()} requested dates, the first being {first}")
 
 
-def raise_if_gaps(gaps: DataFrame, col: str, what: str) -> None:
-    """M10 guard: ValueError naming the missing dates (sample of at most 50 reaches the driver)."""
-    sample = [r[0] for r in gaps.orderBy(col).limit(50).collect()]
-    if sample:
-        raise MissingDatesError(f"{what} has no rows for requested dates: {[str(d) for d in sample]}")
+class ConstraintError(ValueError):
+    pass
 
 
 def check_columns(table: str, columns: Sequence[str], expected: Sequence[str]) -> None:
-    """Missing or unexpected columns → ValueError (schema only, no data read)."""
-    missing = [c for c in expected if c not in columns]
-    if missing:
-        raise ValueError(f"{table}: missing columns {missing}")
-    extra = [c for c in columns if c not in expected]
-    if extra:
-        raise ValueError(f"{table}: unexpected columns {extra}")
+    """The column set has to be the table's own; both differences are named at once (no data is read)."""
+    lacking, foreign = sorted(set(expected) - set(columns)), sorted(set(columns) - set(expected))
+    if lacking or foreign:
+        raise ValueError(f"{table} takes {len(expected)} columns: lacking {lacking or 'none'}, unknown {foreign or 'none'}")
 
 
 def constraint_violations(df: DataFrame, table: str, key: Sequence[str], not_null: Sequence[str] = (),

@@ -3,16 +3,15 @@
 "First" and "last" need an explicit order: Spark has no row order. Callers pass the order
 columns; :func:`with_file_order` derives the landed-file order (partition value, file, row).
 
-The implementation is an aggregate, not a window: ``groupBy(key).agg(min(struct(seq, row)))``
-is partially aggregated map-side, so a hot key (a third of all rows) is reduced to one row per
-map task before the shuffle instead of being sorted whole inside one task.
+One ``row_number`` per key with a filter on 1: Spark turns it into a group limit that each map task applies before
+the shuffle (``WindowGroupLimit … Partial`` in the plan), so a hot key sends one row per task and is never sorted whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEQ = "_seq"
@@ -27,26 +26,12 @@ def with_file_order(df: DataFrame, partition_col: str | None = None, name: str =
     return df.withColumn(name, F.struct(*parts))
 
 
-def _order_struct(order: Sequence[str | Column]) -> Column:
-    cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(cols)])
-
-
 def _keep(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], last: bool) -> DataFrame:
-    keys = list(keys)
     if not order:
         raise ValueError("keep-first/last needs an explicit order (Spark rows have none)")
-    # Plain-name order columns travel inside the order struct only (not twice).
-    named = {c: i for i, c in enumerate(order) if isinstance(c, str) and c in df.columns and c not in keys}
-    rest = [c for c in df.columns if c not in keys and c not in named]
-    # min/max over struct(order, row): struct comparison is field by field, so the order decides
-    # and the row rides along. Cheaper than min_by (one buffer instead of two), still partial.
-    pick = F.max if last else F.min
-    row = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None)
-    agg = df.groupBy(*keys).agg(pick(F.struct(_order_struct(order).alias("o"), row.alias("r"))).alias("_m"))
-    out = {c: F.col("_m.r").getField(c) for c in rest}
-    out.update({c: F.col("_m.o").getField(f"o{i}") for c, i in named.items()})
-    return agg.select(*[F.col(f"`{c}`") if c in keys else out[c].alias(c) for c in df.columns])
+    columns = [F.col(c) if isinstance(c, str) else c for c in order]
+    w = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() if last else c.asc_nulls_first() for c in columns])
+    return df.withColumn("_keep", F.row_number().over(w)).where("_keep = 1").drop("_keep")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

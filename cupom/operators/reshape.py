@@ -1,5 +1,5 @@
 """Reshaping operators: pivot (G2), duplicate-key check (G1), month→business-day expansion (J1),
-nested-record explosion (N1), payload flattening (S14), column-set helpers (P2–P4, U3)."""
+payload flattening (S14), column-set helpers (P2, P3)."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cupom.functions.coerce import to_date_any, to_double, to_long
+
 
 class DuplicateKeyError(ValueError):
     pass
@@ -20,10 +22,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def raise_on_duplicate_keys(df: DataFrame, keys: Sequence[str], what: str) -> None:
-    """G1 guard: ValueError naming up to 10 duplicated keys (only the sample reaches the driver)."""
-    sample = duplicate_keys(df, keys).limit(10).collect()
+    """G1 guard: ValueError with the number of duplicated keys and ten of them."""
+    found = duplicate_keys(df, keys)
+    sample = found.limit(10).collect()
     if sample:
-        raise DuplicateKeyError(f"{what}: duplicated keys {[tuple(r) for r in sample]}")
+        raise DuplicateKeyError(f"{what}: {found.count()} duplicated keys, among them {[tuple(r) for r in sample]}")
 
 
 def pivot_long(df: DataFrame, row_key: str, var_col: str, value_col: str,
@@ -53,26 +56,6 @@ def monthly_as_daily(days: DataFrame, day_col: str, monthly: DataFrame, month_co
     return d.join(m, "reference_month", "left").select(day_col, "reference_month", *metric)
 
 
-def explode_with_parent(df: DataFrame, array_col: str, inherit: Mapping[str, str],
-                        pos_col: str = "_pos") -> DataFrame:
-    """One row per element of ``array_col``; child fields named in ``inherit`` fall back to the
-    parent's column (``{child_field: parent_column}``). The element position is kept for ordering."""
-    x = df.select("*", F.posexplode_outer(array_col).alias(pos_col, "_el")).where(F.col("_el").isNotNull())
-    el_type = df.schema[array_col].dataType.elementType
-    fields = [f.name for f in el_type.fields]
-    cols: list[Column] = []
-    for f in fields:
-        c = F.col("_el").getField(f)
-        if f in inherit:
-            c = F.coalesce(c, F.col(inherit[f]))
-        cols.append(c.alias(f))
-    for child, parent in inherit.items():
-        if child not in fields:
-            cols.append(F.col(parent).alias(child))
-    keep = [c for c in df.columns if c != array_col and c not in fields and c not in inherit.values()]
-    return x.select(*keep, pos_col, *cols)
-
-
 def flatten_payload(text: Column, record: T.StructType) -> Column:
     """A JSON payload that is an object, a list, or a list of lists → array of records."""
     as_list = F.from_json(text, T.ArrayType(record))
@@ -99,44 +82,28 @@ def dedupe_column_names(df: DataFrame) -> DataFrame:
     return renamed.select(*[F.col(tmp[i]).alias(df.columns[i]) for i in idx])
 
 
+def coerced(value: Column, given: T.DataType, wanted: T.DataType) -> Column:
+    """A column in its declared type; text goes through the coercion rules."""
+    if isinstance(given, T.StringType):
+        rule = {"double": to_double, "date": to_date_any, "long": to_long, "integer": to_long}.get(wanted.typeName())
+        if rule is not None:
+            return rule(value).try_cast(wanted)
+    return value.try_cast(wanted)
+
+
 def project_columns(df: DataFrame, columns: Sequence[str], types: Mapping[str, T.DataType] | None = None) -> DataFrame:
-    """Fixed column list; declared types are applied, missing columns are added as NULL."""
+    """Fixed column list; declared types are applied (text by the coercion rules: what is no number
+    or date becomes NULL, never an error), missing columns are added as NULL."""
     types = types or {}
     out = []
     for c in columns:
         if c in df.columns:
-            out.append(F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`"))
+            out.append(coerced(F.col(f"`{c}`"), df.schema[c].dataType, types[c]).alias(c) if c in types else F.col(f"`{c}`"))
         else:
             out.append(F.lit(None).cast(types.get(c, T.StringType())).alias(c))
     return df.select(*out)
 
 
-def prepare_output(df: DataFrame, what: str, required: Sequence[str], optional: Sequence[str] = (),
-                   defaults: Mapping[str, object] | None = None, output: Sequence[str] | None = None,
-                   types: Mapping[str, T.DataType] | None = None) -> DataFrame:
-    """Required columns (ValueError when absent), optional ones, literal defaults, final order."""
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise ValueError(f"{what} must have columns {missing}, got: {df.columns}")
-    cols = list(required) + [c for c in optional if c in df.columns and c not in required]
-    out = df.select(*[F.col(f"`{c}`") for c in cols])
-    for c, v in (defaults or {}).items():
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(v))
-            cols.append(c)
-    if output is None:
-        return out
-    return project_columns(out, output, types)
-
-
-def union_by_name(*frames: DataFrame) -> DataFrame:
-    """Concatenate by column name; a column missing on one side becomes NULL."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
-
-
 def rename_aliases(df: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
     """Rename by an alias map; several aliases of one target are coalesced in map order."""
     targets: dict[str, list[str]] = {}

@@ -29,7 +29,6 @@ from cupom.sinks.lake import merge_revisions
 from cupom.sinks.tables import bond_dimension_batch, merge_by_key
 from cupom.sources.landing import combine_ptax, newest_file_rows, parse_ptax_lines
 from cupom.sources import landing as landing_mod
-from cupom.sources.tables import read_parquet
 
 # Fixed query parameters.
 ON_DATE = "1998-06-15"
@@ -42,21 +41,15 @@ UPSERT_BASE_BEFORE = "1999-01-01"
 UPSERT_BATCH_FROM = "1998-07-01"
 REVISIONS_EXISTING_BEFORE = "2024-01-20"
 REVISIONS_NEW_FROM = "2024-01-15"
-FEW_ORDERS = 2  # a weekday with at most this many orders is treated as a holiday
+HOLIDAY = "dayofyear({d}) % 29 = 3"  # days that stand for holidays where they are weekdays: a rule on the date, at any scale
 NEXT_TIPO = "PROJEÇÕES PARA O MÊS SEGUINTE"
 
 LINEITEM_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
 
 
-# Tables small enough that spreading them is not worth a shuffle.
-_SMALL = {"region", "nation", "supplier", "labels", "benchmark"}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A test table; large ones are spread over the session's cores when the file has fewer
-    splits than cores (see :mod:`cupom.sources.tables`)."""
-    return read_parquet(spark, f"{sf}/{name}.parquet", balance=name not in _SMALL)
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def _d(c: str) -> Column:
@@ -508,16 +501,14 @@ def _holidays(o: DataFrame) -> tuple[DataFrame, DataFrame]:
     d = _d("o_orderdate")
     bounds = o.agg(F.min(d).alias("lo"), F.max(d).alias("hi"))
     days = cal.days_between(bounds, "lo", "hi", "d").select("d")
-    counts = o.groupBy(d.alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    hol = days.join(counts, "d", "left").where(cal.is_weekday(F.col("d")) & (F.coalesce("n", F.lit(0)) <= FEW_ORDERS)) \
-        .select(F.col("d").alias("data"))
+    hol = days.where(cal.is_weekday(F.col("d")) & F.expr(HOLIDAY.format(d="d"))).select(F.col("d").alias("data"))
     return days, hol
 
 
 def business_day_shift(spark, sf):
     o = table(spark, sf, "orders")
     days, hol = _holidays(o)
-    idx = cal.business_day_index_over(cal.spine_for(days, "d"), hol)
+    idx = cal.business_day_index_over(cal.spine_for(days, "d", 5), hol)
     x = days.join(idx.select("d", "is_bday"), "d")
     x = cal.shift_business_days(x, "d", 1, idx, "next_bday")
     x = cal.shift_business_days(x, "d", -1, idx, "prev_bday")
@@ -537,11 +528,10 @@ def month_15th(spark, sf):
 _SQL_CAL = f"""
 od AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders),
 b AS (SELECT min(d) AS lo, max(d) AS hi FROM od),
-cnt AS (SELECT d, count(*) AS n FROM od GROUP BY d),
 spine AS (SELECT CAST(unnest(generate_series(lo - INTERVAL 40 DAY, hi + INTERVAL 120 DAY, INTERVAL 1 DAY)) AS DATE)
           AS d FROM b),
-flag AS (SELECT s.d, (isodow(s.d) < 6 AND NOT (s.d BETWEEN b.lo AND b.hi AND coalesce(c.n, 0) <= {FEW_ORDERS}))
-                AS bd FROM spine s CROSS JOIN b LEFT JOIN cnt c ON c.d = s.d)"""
+flag AS (SELECT s.d, (isodow(s.d) < 6 AND NOT (s.d BETWEEN b.lo AND b.hi AND {HOLIDAY.format(d='s.d')}))
+                AS bd FROM spine s CROSS JOIN b)"""
 
 SQL_BDAY_SHIFT = f"""WITH {_SQL_CAL},
 w AS (SELECT d, bd,
@@ -754,7 +744,7 @@ def coverage_check(spark, sf):
     requested = cal.days_between(bounds, "lo", "hi", "data_referencia").select("data_referencia") \
         .where(cal.is_weekday(F.col("data_referencia")))
     loaded = li.select(d.alias("data_referencia"))
-    found = li.where((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")).select(d.alias("data_referencia"))
+    found = li.groupBy(d.alias("data_referencia")).agg(F.sum("l_partkey").alias("n")).where("n % 4 <> 1")
     return coverage_gaps(requested, loaded, found, "data_referencia")
 
 
@@ -765,7 +755,7 @@ SELECT data_referencia FROM req
 WHERE isodow(data_referencia) < 6
   AND data_referencia IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem)
   AND data_referencia NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem
-                              WHERE l_returnflag = 'N' AND l_linestatus = 'O')"""
+                              GROUP BY CAST(l_shipdate AS DATE) HAVING sum(l_partkey) % 4 <> 1)"""
 
 
 def gap_report(spark, sf):
@@ -776,43 +766,41 @@ def gap_report(spark, sf):
     bdays = cal.days_between(bounds, "lo", "hi", "value").select("value").where(cal.is_weekday(F.col("value")))
     expected = bdays.select(F.lit("liquidacoes_mercado").alias("dataset"), "value") \
         .unionByName(bdays.select(F.lit("mercado_secundario").alias("dataset"), "value"))
-    present = o.select(F.lit("liquidacoes_mercado").alias("dataset"), od.alias("value")) \
-        .unionByName(li.select(F.lit("mercado_secundario").alias("dataset"), _d("l_shipdate").alias("value")))
-    return gap_rows(expected, present)
+    # A day's partition counts as present unless its key sum is a multiple of seven.
+    per_day = o.groupBy(F.lit("liquidacoes_mercado").alias("dataset"), od.alias("value")).agg(F.sum("o_custkey").alias("n")) \
+        .unionByName(li.groupBy(F.lit("mercado_secundario").alias("dataset"), _d("l_shipdate").alias("value")).agg(F.sum("l_partkey").alias("n")))
+    return gap_rows(expected, per_day.where("n % 7 <> 0"))
 
 
 SQL_GAPS = """
 WITH b AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders),
 bd AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS value FROM b)
 SELECT 'liquidacoes_mercado' AS dataset, value FROM bd
-WHERE isodow(value) < 6 AND value NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)
+WHERE isodow(value) < 6 AND value NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders
+                                          GROUP BY CAST(o_orderdate AS DATE) HAVING sum(o_custkey) % 7 <> 0)
 UNION ALL
 SELECT 'mercado_secundario' AS dataset, value FROM bd
-WHERE isodow(value) < 6 AND value NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem)"""
+WHERE isodow(value) < 6 AND value NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem
+                                          GROUP BY CAST(l_shipdate AS DATE) HAVING sum(l_partkey) % 7 <> 0)"""
 
 
 def stale_partitions_q(spark, sf):
     ev = table(spark, sf, "events")
-    bronze = ev.where(F.col("event_type").isin("click", "view", "purchase")) \
-        .groupBy(_d("ts").alias("value")).agg(F.max("ts").alias("mtime"))
-    silver_m = ev.where(F.col("event_type").isin("view", "signup")) \
-        .groupBy(_d("ts").alias("value")).agg(F.max("ts").alias("mtime"))
-    return stale_partitions(bronze, silver_m)
+    days = ev.groupBy(_d("ts").alias("value")).agg(F.max("ts").alias("last"), F.min("ts").alias("first"), F.count("*").alias("n"))
+    # By a day's event count its silver is missing, older than bronze, or as new.
+    silver_m = days.where("n % 3 <> 0").select("value", F.expr("CASE n % 3 WHEN 1 THEN first ELSE last END").alias("mtime"))
+    return stale_partitions(days.select("value", F.col("last").alias("mtime")), silver_m)
 
 
 SQL_STALE = """
-WITH br AS (SELECT CAST(ts AS DATE) AS value, max(ts) AS mt FROM events
-            WHERE event_type IN ('click', 'view', 'purchase') GROUP BY 1),
-sv AS (SELECT CAST(ts AS DATE) AS value, max(ts) AS mt FROM events WHERE event_type IN ('view', 'signup') GROUP BY 1)
-SELECT br.value, CASE WHEN sv.value IS NULL THEN 'missing' ELSE 'newer' END AS reason
-FROM br LEFT JOIN sv ON sv.value = br.value WHERE sv.value IS NULL OR br.mt > sv.mt"""
+SELECT CAST(ts AS DATE) AS value, CASE WHEN count(*) % 3 = 0 THEN 'missing' ELSE 'newer' END AS reason FROM events
+GROUP BY 1 HAVING count(*) % 3 = 0 OR (count(*) % 3 = 1 AND max(ts) > min(ts))"""
 
 
 # ----------------------------------------------------------------------- refresh (V1–V3, V5)
 
 def _refresh_dates(o: DataFrame) -> DataFrame:
-    return o.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")) \
-        .select(_d("o_orderdate").alias("d"))
+    return o.groupBy(_d("o_orderdate").alias("d")).agg(F.sum("o_custkey").alias("n")).where("n % 5 = 0").select("d")
 
 
 def refresh_scope_q(spark, sf):
@@ -821,9 +809,9 @@ def refresh_scope_q(spark, sf):
 
 
 SQL_REFRESH = f"""
-WITH r AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders
-           WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'
-             AND CAST(o_orderdate AS DATE) BETWEEN DATE '{REFRESH_WINDOW[0]}' AND DATE '{REFRESH_WINDOW[1]}')
+WITH r AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders
+           WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{REFRESH_WINDOW[0]}' AND DATE '{REFRESH_WINDOW[1]}'
+           GROUP BY 1 HAVING sum(o_custkey) % 5 = 0)
 SELECT 'daily' AS scope, d AS value FROM r
 UNION ALL SELECT DISTINCT 'monthly', CAST(date_trunc('month', d) AS DATE) FROM r
 UNION ALL SELECT 'ipca_dict', CAST(unnest(generate_series(CAST(date_trunc('month', min(d)) AS DATE),
@@ -837,8 +825,9 @@ def gold_delete(spark, sf):
 
 SQL_GOLD_DELETE = f"""{SQL_SERIES}
 WHERE CAST(o_orderdate AS DATE) NOT IN (
-  SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'
-    AND CAST(o_orderdate AS DATE) BETWEEN DATE '{REFRESH_WINDOW[0]}' AND DATE '{REFRESH_WINDOW[1]}')"""
+  SELECT CAST(o_orderdate AS DATE) FROM orders
+  WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{REFRESH_WINDOW[0]}' AND DATE '{REFRESH_WINDOW[1]}'
+  GROUP BY 1 HAVING sum(o_custkey) % 5 = 0)"""
 
 
 # ------------------------------------------------------------------------ constraints
@@ -1012,16 +1001,15 @@ SQL_GAP_SUMMARY = f"""SELECT 'bronze' AS layer, dataset, CAST(count(*) AS BIGINT
 
 
 def projection_refresh(spark, sf):
-    """Expected months = months of the orders range; present = months with urgent pending
-    orders; active = neighbours of the last order date."""
+    """Expected months = months of the orders range; present = months by their order count;
+    active = neighbours of the last order date."""
     from cupom.plans.incremental import projection_refresh_months
 
     o = table(spark, sf, "orders")
     d = _d("o_orderdate")
     bounds = o.agg(F.trunc(F.min(d), "MM").alias("lo"), F.trunc(F.max(d), "MM").alias("hi"))
     expected = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("m"))
-    present = o.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
-                      & (F.col("o_totalprice") > 300000)).select(F.trunc(d, "MM").alias("m"))
+    present = o.groupBy(F.trunc(d, "MM").alias("m")).agg(F.sum("o_custkey").alias("n")).where("n % 3 <> 0")
     last = o.agg(F.max(d)).first()[0]
     return projection_refresh_months(expected, present, last)
 
@@ -1031,8 +1019,8 @@ WITH b AS (SELECT CAST(date_trunc('month', min(CAST(o_orderdate AS DATE))) AS DA
                   CAST(date_trunc('month', max(CAST(o_orderdate AS DATE))) AS DATE) AS hi,
                   max(CAST(o_orderdate AS DATE)) AS last FROM orders),
 exp AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS value FROM b),
-have AS (SELECT DISTINCT CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS value FROM orders
-         WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' AND o_totalprice > 300000)
+have AS (SELECT CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS value FROM orders
+         GROUP BY 1 HAVING sum(o_custkey) % 3 <> 0)
 SELECT value FROM exp WHERE value NOT IN (SELECT value FROM have)
 UNION
 SELECT CAST(date_trunc('month', last) + INTERVAL (k) MONTH AS DATE) FROM b, (VALUES (-1), (0), (1)) t(k)"""
@@ -1059,7 +1047,7 @@ def lake_quotes(spark, sf):
     root = scratch_path(spark, "lake")
     landed.write.json(f"{root}/landing/mercado_secundario")
     lo, hi = per_key.agg(F.min("dia"), F.max("dia")).first()
-    report = update(spark, root, datasets=["mercado_secundario"], start_date=lo, end_date=hi, data_start="1900-01-01")
+    report = update(spark, root, datasets=["mercado_secundario"], start_date=lo, end_date=hi, data_start="1900-01-01", gap_gate=False)
     errors = [(r.layer, r.detail) for r in report.where("status = 'error'").collect()]
     if errors:
         raise RuntimeError(f"update failed: {errors}")

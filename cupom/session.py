@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -61,12 +62,18 @@ def ensure_defaults(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only when unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Unset, it is an error on a cluster, whose nodes share no temporary folder; a session in one process
+    (``local[n]``, as in tests) gets a folder of its own.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
         current = tempfile.mkdtemp(prefix="cupom-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current

@@ -33,16 +33,16 @@ class PartitionSpec:
 SPECS: dict[str, PartitionSpec] = {
     s.dataset: s
     for s in (
-        PartitionSpec("mercado_secundario", "data", DAY, "json", "missing_dates", ("data_referencia", "data")),
-        PartitionSpec("liquidacoes_mercado", "data", DAY, "parquet", "missing_dates", ("DATA MOV", "data_referencia")),
+        PartitionSpec("mercado_secundario", "data", DAY, "json", "missing_dates"),
+        PartitionSpec("liquidacoes_mercado", "data", DAY, "parquet", "missing_dates", ("DATA MOV", "data", "DATA", "Data Negociação", "data_negociacao")),
         PartitionSpec("ajustes_bmf", "data", DAY, "parquet", "missing_dates", ("RptDt", "data_referencia")),
-        PartitionSpec("leiloes", "data", DAY, "json", "missing_dates", ("data_leilao", "data_referencia")),
-        PartitionSpec("ipca_indice", "reference_month", MONTH, "parquet", "run_always", ("D2C", "ref_month")),
-        PartitionSpec("projecoes", "reference_month", MONTH, "json", "run_always", ("mes_referencia", "ref_month")),
-        PartitionSpec("feriados", "snapshot", SNAPSHOT, "parquet", "run_always", ("Data", "data")),
-        PartitionSpec("cdi", "data", DAY, "parquet", "missing_dates", ("data_referencia",)),
+        PartitionSpec("leiloes", "data", DAY, "json", "missing_dates", ("dataLeilao", "data_leilao", "data_referencia")),
+        PartitionSpec("ipca_indice", "reference_month", MONTH, "parquet", "run_always", ("D2C", "DATA_CODIGO", "DATA", "ref_month")),
+        PartitionSpec("projecoes", "reference_month", MONTH, "json", "run_always"),
+        PartitionSpec("feriados", "snapshot", SNAPSHOT, "parquet", "run_always"),
+        PartitionSpec("cdi", "data", DAY, "parquet", "missing_dates", ("data_referencia", "data")),
         PartitionSpec("ptax", "data", DAY, "parquet", "missing_dates", ("data",)),
-        PartitionSpec("vna", "data", DAY, "json", "missing_dates", ("data_referencia", "data")),
+        PartitionSpec("vna", "data", DAY, "json", "missing_dates", ("data_referencia", "data", "dt_referencia")),
     )
 }
 

@@ -149,13 +149,3 @@ def test_settlements_and_auctions(spark):
 def test_holidays(spark):
     df = spark.createDataFrame([("2026-01-02",), ("2026-01-01",), (None,), ("2026-01-01",)], "Data string")
     assert [r.data for r in silver.feriados(df).collect()] == [D(2026, 1, 1), D(2026, 1, 2)]
-
-
-def test_explode_with_parent_pushes_parent_fields(spark):
-    from cupom.operators.reshape import explode_with_parent
-
-    df = spark.createDataFrame([("2026-01-15", [("1", None), ("2", "2026-01-14")]), ("2026-01-16", [])],
-                               "day string, items array<struct<code:string,data_referencia:string>>")
-    out = sorted((r.code, r.data_referencia, r._pos) for r in explode_with_parent(df, "items", {"data_referencia": "day"})
-                 .collect())
-    assert out == [("1", "2026-01-15", 0), ("2", "2026-01-14", 1)]
