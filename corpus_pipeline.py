@@ -58,7 +58,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip): ids as little-endian unsigned 32-bit integers; whether they decode to the text."""
     ship(spark)
-    both = bpe.round_trip(docs.select("doc_id", "text"), vocabulary(spark))
+    # Executors that ran the other stages have grown heaps: the encoders keep less than they would alone.
+    both = bpe.round_trip(docs.select("doc_id", "text"), vocabulary(spark, states=100_000, pieces=100_000))
     return both.select("doc_id", "n_tokens", "ids", (F.coalesce("text", F.lit("")).cast("binary") == F.col("decoded")).alias("round_trip"))
 
 

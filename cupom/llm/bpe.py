@@ -34,11 +34,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from cupom.llm.common import texts
+from cupom.llm.common import claim, texts
 
-SPAN, MAX_STATES, MAX_PIECES, MAX_NEIGHBOURS = 1 << 16, 300_000, 400_000, 150_000
+SPAN, MAX_STATES, MAX_PIECES, MAX_NEIGHBOURS = 1 << 16, 260_000, 200_000, 60_000
 #: Rows and bytes that one output batch holds at most (a single longer row aside).
-BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -51,22 +51,29 @@ def parse_ranks(content: bytes) -> dict[bytes, int]:
 
 
 class Vocabulary:
-    """A rank file, read by the driver and broadcast (a megabyte or so, whatever the data), and the pattern."""
+    """A rank file, read by the driver and broadcast (a megabyte or so, whatever the data), and the pattern.
 
-    def __init__(self, spark: SparkSession, path: str, pattern: str):
+    ``states`` and ``pieces`` bound what each worker's encoder keeps (about 0.6 and 0.2 kB each): fewer take longer, with the same ids.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, pattern: str, states: int | None = None, pieces: int | None = None):
+        self.sizes = (states, pieces)
         with open(path, "rb") as f:
             content = f.read()
         self.content, self.pattern, self.name = spark.sparkContext.broadcast(content), pattern, hashlib.sha256(content).hexdigest()
 
     def encoder(self) -> Encoder:
-        if (self.name, self.pattern) not in _ENCODERS:
-            _ENCODERS[self.name, self.pattern] = Encoder(parse_ranks(self.content.value), self.pattern)
-        return _ENCODERS[self.name, self.pattern]
+        claim("bpe", _forget)
+        key = (self.name, self.pattern, self.sizes)
+        if key not in _ENCODERS:
+            _ENCODERS[key] = Encoder(parse_ranks(self.content.value), self.pattern, *self.sizes)
+        return _ENCODERS[key]
 
     def library(self):
         """The tokenizer library's own encoder for the same vocabulary: text to an array of ids."""
         import tiktoken
 
+        claim("bpe", _forget)
         if (self.name, self.pattern) not in _LIBRARY:
             _LIBRARY[self.name, self.pattern] = tiktoken.Encoding(self.name, pat_str=self.pattern, mergeable_ranks=parse_ranks(self.content.value), special_tokens={})
         encode = _LIBRARY[self.name, self.pattern].encode_ordinary
@@ -84,6 +91,11 @@ _DECODERS: dict = {}
 _LIBRARY: dict = {}
 
 
+def _forget() -> None:
+    for cache in (_ENCODERS, _DECODERS, _LIBRARY):
+        cache.clear()
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Encoding by definition: join the adjacent pair of lowest rank, leftmost first, until none is left."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -98,8 +110,8 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Transducer:
     """Bytes of one piece to token ids."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], states: int | None = None):
+        self.ranks, self.most = ranks, states
         self.tokens = {rank: token for token, rank in ranks.items()}
         # Trie: child by (node, byte), token that ends at a node, and whether a node has children.
         self.child: dict[int, int] = {}
@@ -212,7 +224,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.configurations) > MAX_STATES:
+        if len(self.configurations) > (self.most or MAX_STATES):
             self._reset()
         state, out, step_of = 0, [], self.steps.get
         for byte in piece:
@@ -246,12 +258,12 @@ def spans(text: str, size: int = SPAN):
 class Encoder:
     """Texts to ids; remembers the ids of the pieces it met last."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer, self.find = Transducer(ranks), regex.compile(pattern).findall
+    def __init__(self, ranks: dict[bytes, int], pattern: str, states: int | None = None, pieces: int | None = None):
+        self.transducer, self.find, self.most = Transducer(ranks, states), regex.compile(pattern).findall, pieces
         self.seen: dict[str, bytes] = {}
 
     def piece(self, piece: str) -> bytes:
-        if len(self.seen) >= MAX_PIECES:
+        if len(self.seen) >= (self.most or MAX_PIECES):
             self.seen.clear()
         ids = self.transducer.encode(piece.encode())
         ids = struct.pack(f"<{len(ids)}I", *ids)

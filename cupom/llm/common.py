@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows and bytes that Spark hands a Python worker at a time: texts are long, and workers share an executor's memory.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, so that they need no copy of the repository."""
+    """Send this package to the Python workers, so that they need no copy of the repository, and bound what they get at once."""
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if getattr(sc, "_cupom_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -44,6 +54,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_OWNER: list = [None, None]
+
+
+def claim(name: str, clear: Callable[[], None] = lambda: None) -> None:
+    """Called as a task begins: make ``name`` the operator that a reused Python worker serves, and give back what it doesn't need.
+
+    Workers outlive their tasks; another operator's caches (vocabularies, transducer states, benchmark blocks) are cleared, and
+    pages that the last task freed go back to the system, where the C library can.
+    """
+    if _OWNER[0] != name:
+        if _OWNER[1] is not None:
+            _OWNER[1]()
+            gc.collect()
+        _OWNER[:] = [name, clear]
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows end to end, and the rows' n + 1 offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -32,12 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cupom.llm.common import text_bytes
+from cupom.llm.common import claim, text_bytes
 from cupom.llm.files import Publisher, open_store
 from cupom.llm.words import Words, groups, split
 from cupom.session import scratch_path
 
-SHARD_BYTES, BLOCK_WORDS, SAMPLE = 8 << 20, 250_000, 16
+SHARD_BYTES, BLOCK_WORDS, SAMPLE = 2 << 20, 250_000, 16
 KIND, LOWER = "alnum", True
 RESULTS = ("n_words", "n_hit", "item_ids", "n_items", "spans", "contaminated")
 
@@ -260,6 +260,7 @@ _BLOCKS: dict[str, Block] = {}
 
 
 def load_block(path: str) -> Block:
+    claim("fm_index", _BLOCKS.clear)
     if path not in _BLOCKS:
         _BLOCKS.clear()
         fs, name = open_store(path)

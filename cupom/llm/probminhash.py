@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cupom.llm.common import stored, text_bytes
+from cupom.llm.common import claim, stored, text_bytes
 from cupom.llm.graph import components
 from cupom.llm.words import groups, split
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
-BATCH_BYTES, BATCH_TEXTS, BLOCK = 8 << 20, 8192, 2048
+BATCH_BYTES, BATCH_TEXTS, BLOCK = 2 << 20, 8192, 2048
 #: Bits that tell the texts of a batch apart, above those of a shingle's hash.
 TEXT_BITS = 14
 #: Arrivals drawn in one round, at least.
@@ -124,6 +124,7 @@ def sign(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc_id, node, n_shingles, bands) per row; rows without words have no bands."""
 
     def task(batches):
+        claim("probminhash")
         for batch in batches:
             data, offsets = text_bytes(batch.column(2))
             for a, b in _small(offsets):
@@ -182,6 +183,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, detail: bool = True) -> DataFrame
     """Pairs (a, b) of nodes with their exact similarity; with ``detail``, how a differs from b."""
 
     def task(batches):
+        claim("probminhash")
         for batch in batches:
             rows = list(compare(batch.column(2), batch.column(3)))
             columns = list(zip(*rows, strict=True)) or [[]] * 5

@@ -15,10 +15,10 @@ from cupom.session import scratch_path
 SEQUENCE, ORDER_KEY, END_TOKEN = 256, 0x5EED, 50256
 
 
-def vocabulary(spark: SparkSession, name: str = "byte_bpe_50k.tiktoken") -> bpe.Vocabulary:
+def vocabulary(spark: SparkSession, name: str = "byte_bpe_50k.tiktoken", states: int | None = None, pieces: int | None = None) -> bpe.Vocabulary:
     import public_tokenizers
 
-    return bpe.Vocabulary(spark, public_tokenizers.path(name), public_tokenizers.PATTERN)
+    return bpe.Vocabulary(spark, public_tokenizers.path(name), public_tokenizers.PATTERN, states, pieces)
 
 
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,14 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cupom.llm.common import stored, text_bytes
+from cupom.llm.common import claim, stored, text_bytes
 from cupom.llm.files import open_store
 from cupom.llm.words import _BASE, _VALUES, groups, powers
 from cupom.session import scratch_path
 
 LENGTH, GRAM, SHALLOW = 50, 32, 24
 WINDOW = LENGTH - GRAM + 1
-BLOCK, CHUNK, SLICE = 8 << 20, 1 << 20, 1 << 20
+#: A block is small enough to be no huge object in the JVM once it is compressed; larger ones mean fewer messages.
+BLOCK, CHUNK, SLICE = 1 << 20, 1 << 20, 1 << 20
 #: Text per bucket.
 BUCKET_BYTES = 8 << 20
 RESULTS = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
@@ -250,6 +251,7 @@ def _unpack(packed: bytes, *types: str) -> list[np.ndarray]:
 
 def _block_rows(batches, n_columns: int, size: int):
     """(block, ids, texts, columns) rows; ``columns`` are the other columns as an Arrow message."""
+    claim("suffix_dedup")
     part, number = TaskContext.get().partitionId(), 0
     for batch in batches:
         data, offsets = text_bytes(batch.column(n_columns + 1))
@@ -290,6 +292,7 @@ def _asked(hashes: np.ndarray, n_buckets: int):
 
 def ask(batches, n_buckets: int):
     """Step 1: (bucket, block, hashes) rows, 5 bytes a hash."""
+    claim("suffix_dedup")
     for batch in batches:
         for block, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             _, offsets, data = _open(texts)
@@ -378,6 +381,7 @@ def same_contexts(body: np.ndarray, starts: np.ndarray, lengths: np.ndarray) ->
 
 def smallest(table: pa.Table) -> pa.Table:
     """Step 2, a bucket: for each string of each context, whether a smaller id has it than the context's smallest."""
+    claim("suffix_dedup")
     blocks, buckets = table.column("block").to_pylist(), table.column("bucket").to_pylist()
     opened = [_unpack(m, "u1", "<i8", "u1") for m in table.column("message").to_pylist()]
     number = np.concatenate([n for n, _, _ in opened]).astype(np.int64)
@@ -492,6 +496,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes:
     _posted(asked.groupBy("bucket").applyInArrow(answer, "block long, bucket long, bits binary"), folder, "shared")
 
     def send(batches):
+        claim("suffix_dedup")
         for batch in batches:
             for block, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 messages, where = contexts(body, _answers(folder, "shared", block), n_buckets)
@@ -506,6 +511,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes:
     place = stay.index(text)
 
     def finish(batches):
+        claim("suffix_dedup")
         for batch in batches:
             for block, body, columns in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 yield _finished(body, columns, fetch(folder, "where", block), _answers(folder, "smaller", block), place, [*stay, *RESULTS])

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cupom.llm.common import texts
+from cupom.llm.common import claim, texts
 
 SAMPLE_ROWS, MAX_TERMS = 200_000, 5_000
 #: A learned term stands in at least so many toxic texts, and its odds are at least so many times the usual ones.
@@ -40,7 +40,7 @@ LEAST_TEXTS, LEAST_ODDS = 3, 30.0
 #: A beginning is an entry if so many times more texts have it than have any one of its words.
 LEAST_SPREAD = 1.5
 PREFIXES = (4, 5)
-FLUSH_TERMS = 400_000
+FLUSH_TERMS = 200_000
 
 # Prior lexicon, exception phrases, and characters that stand for Latin letters.
 PRIOR = "disgusting idiot loser moron pathetic scum stupid trash worthless clown"
@@ -199,6 +199,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     sample = body.join(F.broadcast(marks), "_tox_id").select("_tox_text", "_tox_label", "_tox_fold")
 
     def count(batches):
+        claim("toxicity")
         sums: dict[str, list[int]] = {}
         kinds = Counter()
 
@@ -254,6 +255,7 @@ def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep_text: bool
     source = docs.select(*stay, docs[text].cast("string").alias("_tox_text"))
 
     def task(batches):
+        claim("toxicity")
         for batch in batches:
             seen = [lexicon.weigh(fold(x)) for x in texts(batch.column(batch.num_columns - 1))]
             points = [lexicon.score(w, n) for w, _, n in seen]

@@ -16,6 +16,9 @@ CLASSES = {"alnum": _ALNUM, "dark": _DARK}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
+#: Bytes of words that are hashed at a time.
+HASHED = 1 << 19
+
 #: A random 64-bit number for each byte value, and the odd base whose powers tell places in a word apart.
 _VALUES = np.random.Generator(np.random.PCG64(20240101)).integers(1, 1 << 64, 256, np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -54,12 +57,19 @@ def split(data: np.ndarray, offsets: np.ndarray, kind: str, lower: bool) -> Word
     body = data[inside]
     if lower:
         body = _LOWER[body]
-    at = np.zeros(len(starts), np.int64)  # of each word in ``body``
-    np.cumsum(lengths[:-1], out=at[1:])
-    place = np.arange(len(body), dtype=np.int32) - np.repeat(at.astype(np.int32), lengths)
+    last = np.cumsum(lengths)  # end of each word in ``body``
+    power = powers(int(lengths.max()))
+    hashes = np.empty(len(starts), np.uint64)
+    a = 0
     with np.errstate(over="ignore"):
-        parts = _VALUES[body] * powers(int(lengths.max()))[place]
-        hashes = np.add.reduceat(parts, at)
+        while a < len(starts):  # some words at a time: eight bytes stand for one here
+            begin = int(last[a - 1]) if a else 0
+            b = max(a + 1, int(np.searchsorted(last, begin + HASHED, "right")))
+            end = int(last[b - 1])
+            at = last[a:b] - lengths[a:b] - begin
+            place = np.arange(end - begin) - np.repeat(at, lengths[a:b])
+            hashes[a:b] = np.add.reduceat(_VALUES[body[begin:end]] * power[place], at)
+            a = b
         hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         hashes ^= hashes >> np.uint64(32)
     return Words(starts, ends, hashes, np.searchsorted(starts, offsets))
