@@ -4,7 +4,9 @@ Texts become weighted sets of ``SHINGLE``-word shingles (a shorter text is one s
 1 + ln(count). Each element sends a Poisson process of arrivals with its weight as rate, each to a random
 register; a register keeps the element that arrived first, and an element stops once its next arrival is later than
 all registers of its text. Two texts agree in a register with their probability Jaccard similarity. ``BANDS``
-bands of ``ROWS`` registers make buckets: a pair at 0.8 is missed with probability (1 - 0.8^4)^32 < 1e-7.
+bands of ``ROWS`` registers make buckets. Pairs are accepted by the plain Jaccard similarity of their shingle sets, which may be
+far above the weighted one where shingles repeat, so such texts have a second set of bands with all weights 1 (elsewhere the two
+are the same). A pair at 0.8 in either measure fails to meet with probability (1 - 0.8^4)^32 < 1e-7.
 
 No bucket is paired up. Equal texts are one node. Every bucket has a hub, the member that meets most texts over all its bands,
 and each member is verified against its hubs alone (Jaccard similarity of the shingle sets, on the texts). That leaves pairs of one
@@ -115,6 +117,27 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key.astype(np.int64)
 
 
+def all_bands(keys: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of bucket keys of each text, keys): those of weights 1, and those of weights 1 + ln(count) that differ."""
+    place = lambda x: (x >> np.uint64(64 - TEXT_BITS)).astype(np.int64)
+    elements, counts = np.unique(keys, return_counts=True)
+    wordy, repeats = np.zeros(n_texts, bool), np.zeros(n_texts, bool)
+    wordy[place(elements)] = True
+    repeats[place(elements[counts > 1])] = True
+    plain = band_keys(signatures(elements, n_texts))
+    bands, chosen = plain, np.repeat(wordy[:, None], plain.shape[1], axis=1)
+    if repeats.any():
+        rows = np.flatnonzero(repeats)
+        weighted = np.zeros_like(plain)
+        # Texts with repeated shingles alone, under numbers of their own.
+        mine = keys[repeats[place(keys)]]
+        number = (np.cumsum(repeats) - 1).astype(np.uint64)[place(mine)]
+        element = mine & np.uint64((1 << (64 - TEXT_BITS)) - 1)
+        weighted[rows] = band_keys(signatures(number << np.uint64(64 - TEXT_BITS) | element, len(rows)))
+        bands, chosen = np.concatenate([plain, weighted], axis=1), np.concatenate([chosen, repeats[:, None] & (weighted != plain)], axis=1)
+    return chosen.sum(axis=1), bands[chosen]
+
+
 def text_key(text: Column) -> Column:
     """Node of a text: 128 bits of digest."""
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
@@ -129,10 +152,8 @@ def sign(docs: DataFrame, key: str, text: str) -> DataFrame:
             data, offsets = text_bytes(batch.column(2))
             for a, b in _small(offsets):
                 keys = shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                sizes = np.bincount((keys >> np.uint64(64 - TEXT_BITS)).astype(np.int64), minlength=b - a)
-                bands = band_keys(signatures(keys, b - a))
-                ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(bands[sizes > 0].ravel()))
+                sizes, bands = all_bands(keys, b - a)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(bands))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), lists], names=["doc_id", "node", "bands"])
 
     source = docs.select(docs[key].cast("long").alias("doc_id"), text_key(docs[text]).alias("node"), docs[text].cast("string").alias("text"))

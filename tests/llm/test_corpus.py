@@ -75,6 +75,18 @@ def test_registers_estimate_probability_jaccard():
     assert abs((sig[0] == mine[0]).mean() - share) < 0.006
 
 
+def test_pairs_with_repeated_phrases_meet(docs):
+    rows = []
+    for i in range(60):  # plain similarity 41 / 50, weighted 0.49
+        single = " ".join(f"w{i}x{j}" for j in range(45))
+        rows += [(2 * i, single), (2 * i + 1, single + f" a{i} b{i} c{i} d{i} e{i}" * 1000)]
+    # Equal shingle sets, of which 60 occur 200 times in one text.
+    words = " ".join(f"v{j}" for j in range(140)) + " " + " ".join(f"u{j}" for j in range(60))
+    rows += [(1000, words + " " + " ".join(f"u{j}" for j in range(60))), (1001, words + (" " + " ".join(f"u{j}" for j in range(60))) * 200)]
+    got = {r.doc_id: r.class_id for r in probminhash.classify(docs(rows)).collect()}
+    assert got == {key: key - key % 2 for key, _ in rows}
+
+
 def test_keep_one(docs, prose):
     rows = [(5, prose(1, 60)), (2, edit(prose(1, 60), 1, 1)), (2, edit(prose(1, 60), 1, 1)), (9, prose(2, 60)), (None, prose(1, 60)), (11, ""), (11, ""), (12, None)]
     got = probminhash.keep_one(docs(rows)).collect()
