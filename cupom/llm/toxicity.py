@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cupom.llm.common import claim, texts
+from cupom.llm.common import claim, stored, texts
 
 SAMPLE_ROWS, MAX_TERMS = 200_000, 5_000
 #: A learned term stands in at least so many toxic texts, and its odds are at least so many times the usual ones.
@@ -223,16 +223,21 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         yield flush()
 
     counts = sample.mapInArrow(count, "term string, t long, c long, t4 long, c4 long")
-    found = (
-        counts.groupBy("term")
-        .agg(*[F.sum(n).alias(n) for n in ("t", "c", "t4", "c4")])
-        .where((F.col("term") == "") | ((F.col("t") + F.col("t4") >= LEAST_TEXTS) & ((F.col("t") + F.col("t4")) > F.col("c") + F.col("c4"))))
-        .orderBy(F.when(F.col("term") == "", 0).otherwise(1), F.desc((F.col("t") + F.col("t4")) / (F.col("c") + F.col("c4") + 1)), "term")
+    listed = F.col("term").isin(list(prior_weights()))
+    summed = counts.groupBy("term").agg(*[F.sum(n).alias(n) for n in ("t", "c", "t4", "c4")])
+    summed = stored(summed.where((F.col("term") == "") | listed | (F.col("t") + F.col("t4") >= LEAST_TEXTS)), "toxic-terms")
+    totals = tuple(summed.where("term = ''").select("t", "c", "t4", "c4").first() or (0, 0, 0, 0))
+    # A term that either lexicon may want. A word that a beginning could stand for has odds of at least the beginning's by LEAST_SPREAD.
+    odds = lambda t, c, toxic, other: ((t + 0.5) / (toxic + 1)) / ((c + 0.5) / (other + 1))
+    best = F.greatest(odds(F.col("t"), F.col("c"), *totals[:2]), odds(F.col("t") + F.col("t4"), F.col("c") + F.col("c4"), totals[0] + totals[2], totals[1] + totals[3]))
+    n = F.col("t") + F.col("t4")
+    rows = (
+        summed.where(F.col("term") != "")
+        .where(listed | (best >= LEAST_ODDS / LEAST_SPREAD))
+        .orderBy(F.desc(listed), F.desc(F.log(best) * n / (n + 3)), "term")
         .limit(4 * MAX_TERMS)
-        .collect()  # bounded by the limit; the lexicon keeps the MAX_TERMS heaviest of these
+        .collect()  # bounded by the limit, ordered as the lexicon weighs, which keeps the MAX_TERMS heaviest of these
     )
-    totals = next(((r.t, r.c, r.t4, r.c4) for r in found if r.term == ""), (0, 0, 0, 0))
-    rows = [r for r in found if r.term]
     early = Lexicon(_lexicon([(r.term, r.t, r.c) for r in rows], totals[:2]))
 
     def measure(batches):

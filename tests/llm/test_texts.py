@@ -78,6 +78,14 @@ def test_held_out_accuracy_and_edges(docs, prose):
     assert plain.weights == toxicity.prior_weights() and plain.curve == toxicity.CURVE
 
 
+def test_terms_are_kept_by_rates_not_counts(docs):
+    # 1 % toxic; the word stands in 18 toxic and 24 other texts: fewer toxic ones, but odds of 74.
+    rows = [(i, "common words " + ("gronk" if (i < 18 or 60 <= i < 84) else "calm")) for i in range(6000)]
+    marks = docs([(1, "")]).sparkSession.createDataFrame([(i, int(i < 60)) for i in range(6000)], "doc_id long, toxic int")
+    weights = toxicity.learn(docs(rows), marks).weights
+    assert " gronk " in weights and " calm " not in weights and " common " not in weights
+
+
 def test_labels_of_the_held_out_fold_are_not_used(docs):
     from zlib import crc32
 
