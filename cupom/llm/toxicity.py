@@ -6,8 +6,8 @@ Aho-Corasick pass finds lexicon entries at word starts: whole words and word beg
 once, with its heaviest entry; hits inside an exception phrase don't count. The score is logistic in
 the log of the summed weights and in their share of the length.
 
-Entries and weights are learned: log-odds of a term between toxic and other labelled texts, with a
-small fixed list as a prior. The sample of labelled rows is bounded (``SAMPLE_ROWS``, the lowest
+Entries and weights are learned: log-odds of a term between toxic and other labelled texts. A
+small fixed list counts as ``PRIOR_TEXTS`` texts of evidence for each of its words, which labelled texts outweigh. The sample of labelled rows is bounded (``SAMPLE_ROWS``, the lowest
 hashes of their ids), so its ids are broadcast and no text is shuffled; term counts are summed by
 Spark; the lexicon keeps the ``MAX_TERMS`` heaviest terms. One fold of the sample calibrates the logistic curve on a lexicon
 learned from the others, so the curve sees unknown texts. A word is used only through its letters: language,
@@ -41,6 +41,8 @@ LEAST_TEXTS, LEAST_ODDS = 3, 30.0
 LEAST_SPREAD = 1.5
 PREFIXES = (4, 5)
 FLUSH_TERMS = 200_000
+#: Weight of a word of the prior list, and labelled texts that the list counts for.
+PRIOR_WEIGHT, PRIOR_TEXTS = 3.0, 3
 
 # Prior lexicon, exception phrases, and characters that stand for Latin letters.
 PRIOR = "disgusting idiot loser moron pathetic scum stupid trash worthless clown"
@@ -132,7 +134,7 @@ def shape(weight: float, words: int) -> tuple[float, float]:
 
 
 def prior_weights() -> dict[str, float]:
-    return {fold(w): 3.0 for w in PRIOR.split()}
+    return {fold(w): PRIOR_WEIGHT for w in PRIOR.split()}
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, float, float]:
@@ -157,11 +159,16 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float,
 
 
 def _lexicon(rows: list[tuple[str, float, float]], totals: tuple[float, float]) -> dict[str, float]:
-    """Weights of terms by their smoothed log-odds, on top of the prior."""
+    """Weights of terms by their smoothed log-odds; words of the prior list by the mean of their log-odds and the list's weight.
+
+    A word of the list goes once its mean is below the least weight that a learned term can have.
+    """
     weights = prior_weights()
     toxic, other = totals
     if toxic == 0 or other == 0:
         return weights
+    listed = dict(weights)
+    least = float(np.log(LEAST_ODDS)) * LEAST_TEXTS / (LEAST_TEXTS + 3)
     whole: dict[str, float] = {}  # of each beginning: texts with the commonest of its words
     for term, t, _ in rows:
         if term.endswith(" "):
@@ -172,10 +179,17 @@ def _lexicon(rows: list[tuple[str, float, float]], totals: tuple[float, float])
         if not term.endswith(" ") and t < LEAST_SPREAD * whole.get(term, 0):
             continue  # it stands for one word, which is an entry itself
         odds = ((t + 0.5) / (toxic + 1)) / ((c + 0.5) / (other + 1))
+        if term in listed:
+            mean = (PRIOR_TEXTS * listed[term] + (t + c) * float(np.log(odds))) / (PRIOR_TEXTS + t + c) if t + c else listed[term]
+            if mean >= least:
+                weights[term] = mean
+            else:
+                del weights[term]
+            continue
         if t >= LEAST_TEXTS and odds >= LEAST_ODDS:
             learned[term] = float(np.log(odds)) * t / (t + 3)  # few texts say less
     heavy = sorted(learned.items(), key=lambda x: (-x[1], x[0]))[:MAX_TERMS]
-    return weights | {term: max(w, weights.get(term, 0.0)) for term, w in heavy}
+    return weights | dict(heavy)
 
 
 def fold_of(key):

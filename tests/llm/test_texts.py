@@ -86,6 +86,13 @@ def test_terms_are_kept_by_rates_not_counts(docs):
     assert " gronk " in weights and " calm " not in weights and " common " not in weights
 
 
+def test_labels_reduce_the_prior():
+    clown, trash, scum, idiot = (toxicity.fold(w) for w in ("clown", "trash", "scum", "idiot"))
+    got = toxicity._lexicon([(clown, 1, 400), (trash, 10, 15), (scum, 50, 0)], (1000, 9000))
+    assert clown not in got and got[trash] < toxicity.prior_weights()[trash] < got[scum]
+    assert got[idiot] == toxicity.prior_weights()[idiot]  # no labelled text has it
+
+
 def test_labels_of_the_held_out_fold_are_not_used(docs):
     from zlib import crc32
 
