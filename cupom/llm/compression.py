@@ -3,7 +3,7 @@
 A text is squeezed with Zstandard as a whole and in fixed chunks; ratio = compressed / raw bytes. Text
 that repeats itself has a low ratio, noise (encoded data, random characters) a high one. The natural
 ratio depends on length, since short texts have little to refer back to, so each limit holds for
-a range of lengths (``BANDS``; ``CHUNK_BANDS`` for chunks). A text passes if its whole ratio is within its band, and if the
+a range of lengths (``BANDS``; ``CHUNK_BANDS`` for chunks). Texts under 200 bytes and chunks under 1000 aren't judged by ratio. A text passes if its whole ratio is within its band, and if the
 share of chunks outside theirs is at most ``chunk_share``.
 
 Words are maximal runs of bytes other than ASCII white space. Defined results: a null text is empty;
