@@ -11,7 +11,7 @@ anchors. Text is kept in blocks of ``BLOCK`` bytes or so, one row each, and bloc
    distinct one, and answers with a bit for each: does a smaller id have it than the smallest of the context?
 3. the block removes what is covered.
 
-The sort is deep-shallow: multikey quicksort on eight-byte letters down to ``SHALLOW`` bytes, level by level over all
+The sort is deep-shallow: a radix refinement on eight-byte letters down to ``SHALLOW`` bytes, level by level over all
 groups at once; groups that still tie are ordered by blind tries of their distinct rests. A group that a third
 of all documents shares sends one context per block, so no bucket gets it whole. Messages to buckets are
 proportional to the text and go through ordinary shuffles. Blocks are written to the shared folder once and never shuffled: answers are
