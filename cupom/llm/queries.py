@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cupom.llm import bpe, chat, compression, fm_index, order, probminhash, suffix_dedup, toxicity, url_lists, warc
+from cupom.llm import bpe, chat, compression, fm_index, order, probminhash, segment_bpe, suffix_dedup, toxicity, url_lists, warc
 from cupom.llm.common import ship, table
 from cupom.llm.sql import CHAT_SQL, URL_SQL, WARC_SQL
 from cupom.session import scratch_path
@@ -124,6 +124,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, lexicon, keep_text=False).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = segment_bpe.Vocabulary(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    both = segment_bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, keep_text=False)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def _shipped(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -143,6 +151,7 @@ _QUERIES = {
     "op8_warc_dictionary": (op8_warc_dictionary, WARC_SQL),
     "op9_deep_shallow": (op9_deep_shallow, None),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_segment_bpe": (op11_segment_bpe, None),
 }
 
 REGISTRY = {name: (_shipped(fn), sql) for name, (fn, sql) in _QUERIES.items()}
