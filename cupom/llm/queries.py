@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cupom.llm import bpe, chat, compression, fm_index, order, probminhash, segment_bpe, suffix_dedup, toxicity, url_lists, warc
+from cupom.llm import bpe, chat, compression, fm_index, merkle, order, prefix_trie, probminhash, segment_bpe, suffix_dedup, toxicity, url_lists, warc
 from cupom.llm.common import ship, table
-from cupom.llm.sql import CHAT_SQL, URL_SQL, WARC_SQL
+from cupom.llm.sql import CHAT_SQL, MERKLE_SQL, TRIE_SQL, URL_SQL, WARC_SQL
 from cupom.session import scratch_path
 
 
@@ -132,6 +132,22 @@ def op11_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and the root it leads to; a fifth of the documents is checked with a text in lower case."""
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    made = merkle.manifest(table(spark, sf_dir, "documents"), changed=F.when(changed, merkle.leaf_hash(text=merkle.lowered(F.col("text")))))
+    folded = made.withColumn("folded_root", merkle.fold(F.coalesce("changed", "leaf"), F.col("proof")))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("proof"))).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations that share their first turns with every twentieth one, as a trie."""
+    conv = F.col("conv_id")
+    convs = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    rebuilt = prefix_trie.rebuilt(convs, conv - conv % 20, F.crc32(conv.cast("string").cast("binary")) % 4, 3)
+    return prefix_trie.trie(prefix_trie.paths_of(rebuilt)).select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 def _shipped(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -152,6 +168,8 @@ _QUERIES = {
     "op9_deep_shallow": (op9_deep_shallow, None),
     "op10_toxicity": (op10_toxicity, None),
     "op11_segment_bpe": (op11_segment_bpe, None),
+    "op12_merkle_manifest": (op12_merkle_manifest, MERKLE_SQL),
+    "op13_prefix_trie": (op13_prefix_trie, TRIE_SQL),
 }
 
 REGISTRY = {name: (_shipped(fn), sql) for name, (fn, sql) in _QUERIES.items()}
