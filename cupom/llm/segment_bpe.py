@@ -3,7 +3,8 @@
 A piece of text is a row of byte tokens. The leaves of a segment tree hold the merge ranks of neighbouring tokens (none:
 ``NONE``) and each inner node the lower of its two: the root's rank is the next merge, and going down by the left child
 where both agree finds its leftmost place. A merge changes three leaves (its own pair, the one before, the one of the token that
-is gone), each a logarithmic walk to the root; a piece is done when the root has no rank.
+is gone), each a logarithmic walk to the root; a piece is done when the root has no rank. The short pieces that a worker meets
+for the first time are merged side by side, a tree to a row (``Forest``), longer ones alone (``merge_piece``).
 
 Around it stands what the tokenizer file asks for: strings of added tokens are cut out of the text first (longest one where
 several begin), the rest is split by the byte-level pattern, and each piece is merged on its own. The tokenizer
@@ -40,8 +41,10 @@ from cupom.llm.common import claim, texts
 
 #: Rank of a pair that no merge joins.
 NONE = 1 << 40
-#: Pieces whose ids a worker remembers (about 0.2 kB each), and the longest of them in characters.
-MAX_PIECES, MAX_CHARS = 400_000, 64
+#: Pieces whose ids a worker remembers (about 0.2 kB each); bytes of the longest piece that is remembered and merged beside others.
+MAX_PIECES, MAX_BYTES = 400_000, 64
+#: Characters whose pieces are looked up together, and trees that are worked on together.
+GROUP, ROWS = 1 << 18, 1 << 14
 
 
 def byte_letters() -> list[str]:
@@ -63,19 +66,8 @@ def merge_piece(tokens: list[int], rank_of, made: list[int]) -> list[int]:
     for k in range(width - 1, 0, -1):
         a, b = tree[2 * k], tree[2 * k + 1]
         tree[k] = a if a <= b else b
-    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-
-    def put(leaf: int, rank: int) -> None:
-        k = width + leaf
-        tree[k] = rank
-        while k > 1:
-            other = tree[k ^ 1]
-            k >>= 1
-            low = rank if rank <= other else other
-            if tree[k] == low:
-                return
-            tree[k] = rank = low
-
+    # Places of the tokens before and after; none is n, whose leaf isn't read.
+    before, after = [n, *range(n - 1)], [*range(1, n + 1)]
     while (rank := tree[1]) < NONE:
         k = 1
         while k < width:
@@ -87,14 +79,24 @@ def merge_piece(tokens: list[int], rank_of, made: list[int]) -> list[int]:
         right, prev = after[gone], before[left]
         token = tokens[left] = made[rank]
         after[left] = right
-        put(gone, NONE)
         if right < n:
             before[right] = left
-            put(left, rank_of(token << 32 | tokens[right], NONE))
+            changes = [(gone, NONE), (left, rank_of(token << 32 | tokens[right], NONE))]
         else:
-            put(left, NONE)
-        if prev >= 0:
-            put(prev, rank_of(tokens[prev] << 32 | token, NONE))
+            changes = [(gone, NONE), (left, NONE)]
+        if prev < n:
+            changes.append((prev, rank_of(tokens[prev] << 32 | token, NONE)))
+        for leaf, rank in changes:
+            k = width + leaf
+            tree[k] = rank
+            while k > 1:
+                other = tree[k ^ 1]
+                k >>= 1
+                if other < rank:
+                    rank = other
+                if tree[k] == rank:
+                    break
+                tree[k] = rank
     out, at = [], 0
     while at < n:
         out.append(tokens[at])
@@ -102,6 +104,68 @@ def merge_piece(tokens: list[int], rank_of, made: list[int]) -> list[int]:
     return out
 
 
+class Forest:
+    """Segment trees of many short pieces, of equal width, merged in step: every round takes each tree's leftmost lowest rank."""
+
+    def __init__(self, ranks: dict[int, int], made: list[int]):
+        self.keys = np.array(sorted(ranks), np.int64)
+        self.ranks = np.array([ranks[k] for k in self.keys.tolist()], np.int64)
+        self.made = np.array(made, np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray, there: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of tokens; ``NONE`` where no merge joins them, or the pair isn't ``there``."""
+        out = np.full(len(left), NONE, np.int64)
+        if len(self.keys):
+            wanted = left << 32 | right
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            hit = there & (self.keys[at] == wanted)
+            out[hit] = self.ranks[at[hit]]
+        return out
+
+    def merge(self, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of pieces end to end, and how many each has; the pieces' first tokens come end to end, too."""
+        n, width = len(sizes), 1 << max(1, int(sizes.max() - 1).bit_length())
+        # Rows have one more place than tokens, which stands for "none", and trees one more node, for the leaf of none.
+        place = np.arange(width + 1)
+        alive = place < sizes[:, None]
+        token = np.zeros((n, width + 1), np.int64)
+        token[alive] = tokens
+        after = np.where(place + 1 < sizes[:, None], place + 1, width).ravel()
+        before = np.where((place > 0) & (place < sizes[:, None]), place - 1, width).ravel()
+        tree = np.full((n, 2 * width + 1), NONE, np.int64)
+        pair = alive[:, 1:]
+        tree[:, width : 2 * width][pair] = self.rank(token[:, :-1][pair], token[:, 1:][pair], np.ones(int(pair.sum()), bool))
+        level = width // 2
+        while level:
+            tree[:, level : 2 * level] = np.minimum(tree[:, 2 * level : 4 * level : 2], tree[:, 2 * level + 1 : 4 * level : 2])
+            level //= 2
+        alive, token, tree = alive.ravel(), token.ravel(), tree.ravel()
+        rows = np.flatnonzero(tree[1 :: 2 * width + 1] < NONE)
+        while len(rows):
+            at, root = rows * (width + 1), rows * (2 * width + 1)
+            rank = tree[root + 1]
+            k = np.ones(len(rows), np.int64)
+            for _ in range(width.bit_length() - 1):
+                k *= 2
+                k += tree[root + k] != rank
+            left = k - width
+            gone = after[at + left]
+            right, prev = after[at + gone], before[at + left]
+            new = self.made[rank]
+            token[at + left], alive[at + gone] = new, False
+            after[at + left], before[at + right] = right, left
+            tree[root + width + gone] = NONE
+            tree[root + width + prev] = self.rank(token[at + prev], new, prev < width)
+            tree[root + width + left] = self.rank(new, token[at + right], right < width)
+            for leaf in (gone, left, np.where(prev < width, prev, left)):
+                k = width + leaf
+                for _ in range(width.bit_length() - 1):
+                    k >>= 1
+                    tree[root + k] = np.minimum(tree[root + 2 * k], tree[root + 2 * k + 1])
+            rows = rows[tree[root + 1] < NONE]
+        return token[alive], alive.reshape(n, -1).sum(axis=1)
+
+
 @functools.cache
 def differing(pattern: str) -> str:
     """Characters that the library's byte-level pre-tokenizer and ``regex`` split differently, as the inside of a character class.
@@ -150,7 +214,9 @@ class Tokenizer:
         self.letters = byte_letters()
         self.bytes_ = [vocab[letter] for letter in self.letters]
         self.pieces, self.seen = pieces, {}
+        self.forest, self.first = Forest(self.ranks, self.made), np.array(self.bytes_, np.int64)
         self.find, self.odd = regex.compile(pattern).findall, regex.compile(f"[{odd}]") if odd else None
+        self.least_odd = min(int(x, 16) for x in odd.replace("-", "").split(r"\U")[1:]) if odd else 0
         self.library = None
         added = spec.get("added_tokens") or []
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
@@ -164,21 +230,30 @@ class Tokenizer:
         for i, name in names.items():
             self.tokens[i] = bytes(byte_of[c] for c in name) if all(c in byte_of for c in name) else name.encode()
 
-    def _pack(self, piece: str) -> bytes:
-        if self.whole is not None and (name := "".join(self.letters[b] for b in piece.encode())) in self.whole:
-            ids = [self.whole[name]]
-        else:
-            ids = merge_piece([self.bytes_[b] for b in piece.encode()], self.ranks.get, self.made)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= MAX_CHARS:
-            if len(self.seen) >= self.pieces:
-                self.seen.clear()
-            self.seen[piece] = packed
-        return packed
+    def learn(self, pieces: list[str]) -> None:
+        """Find and remember the ids of pieces."""
+        short: dict[int, list[tuple[str, bytes]]] = {}
+        for piece in pieces:
+            body = piece.encode()
+            if self.whole is not None and (name := "".join(self.letters[b] for b in body)) in self.whole:
+                self.seen[piece] = struct.pack("<I", self.whole[name])
+            elif len(body) <= MAX_BYTES:
+                short.setdefault(max(1, (len(body) - 1).bit_length()), []).append((piece, body))
+            else:
+                ids = merge_piece([self.bytes_[b] for b in body], self.ranks.get, self.made)
+                self.seen[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        for group in short.values():
+            for at in range(0, len(group), ROWS):
+                part = group[at : at + ROWS]
+                first = self.first[np.frombuffer(b"".join([body for _, body in part]), np.uint8)]
+                ids, counts = self.forest.merge(first, np.array([len(body) for _, body in part]))
+                packed, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+                for (piece, _), start, end in zip(part, [0, *ends], ends, strict=False):
+                    self.seen[piece] = packed[start:end]
 
     def split(self, span: str) -> list[str]:
         """Pieces of a span, as the library's pre-tokenizer cuts them."""
-        if self.odd is None or self.odd.search(span) is None:
+        if self.odd is None or span.isascii() or np.frombuffer(span.encode("utf-32-le"), np.uint32).max() < self.least_odd or self.odd.search(span) is None:
             return self.find(span)
         if self.library is None:
             from tokenizers.pre_tokenizers import ByteLevel
@@ -186,16 +261,47 @@ class Tokenizer:
             self.library = ByteLevel(add_prefix_space=False, use_regex=True)
         return [span[a:b] for _, (a, b) in self.library.pre_tokenize_str(span)]
 
-    def encode(self, text: str) -> bytes:
-        out, seen, pack = [], self.seen, self._pack
-        # Every second part is an added token's string.
-        for k, part in enumerate(self.cut.split(text) if self.cut else (text,)):
-            if k % 2:
-                out.append(struct.pack("<I", self.added[part]))
-            elif part:
+    def encode_all(self, texts):
+        """Ids of each text, packed. Pieces are looked up for ``GROUP`` characters at a time, of one text or several."""
+        waiting: list[list] = []  # per text: ids, or pieces to look up
+        held: list[tuple[list, int]] = []
+        size = 0
+
+        def look_up() -> None:
+            if len(self.seen) > self.pieces:
+                self.seen.clear()
+            seen = self.seen
+            new = {p for parts, at in held for p in parts[at] if p not in seen}
+            self.learn(list(new))
+            for parts, at in held:
+                parts[at] = b"".join([seen[p] for p in parts[at]])
+            for long in [p for p in new if len(p) > MAX_BYTES]:
+                del seen[long]
+            held.clear()
+
+        for text in texts:
+            parts: list = []
+            waiting.append(parts)
+            # Every second part is an added token's string.
+            for k, part in enumerate(self.cut.split(text) if self.cut else (text,)):
+                if k % 2:
+                    parts.append(struct.pack("<I", self.added[part]))
+                    continue
                 for span in spans(part):
-                    out.append(b"".join([seen.get(p) or pack(p) for p in self.split(span)]))
-        return b"".join(out)
+                    parts.append(self.split(span))
+                    held.append((parts, len(parts) - 1))
+                    size += len(span)
+                    if size >= GROUP:
+                        look_up()
+                        size = 0
+            if not held:
+                yield from map(b"".join, waiting)
+                waiting = []
+        look_up()
+        yield from map(b"".join, waiting)
+
+    def encode(self, text: str) -> bytes:
+        return next(self.encode_all([text]))
 
     def decode(self, ids: bytes) -> str:
         machine, parts = codecs.getincrementaldecoder("utf-8")("replace"), []
@@ -225,8 +331,8 @@ class Vocabulary:
 _TOKENIZERS: dict = {}
 
 
-def _mapped(given: DataFrame, column: str, kind: str, keep: bool, results: dict[str, tuple[T.DataType, pa.DataType]], vocabulary: Vocabulary, row) -> DataFrame:
-    """``given`` with ``results``, which ``row(tokenizer, value)`` gives with their size in bytes; ``column`` stays if ``keep``."""
+def _mapped(given: DataFrame, column: str, kind: str, keep: bool, results: dict[str, tuple[T.DataType, pa.DataType]], vocabulary: Vocabulary, make) -> DataFrame:
+    """``given`` with ``results``, which ``make(tokenizer, values)`` gives row by row with their size in bytes; ``column`` stays if ``keep``."""
     stay = [c for c in given.columns if c.lower() not in results and (keep or c != column)]
     schema = T.StructType([given.schema[c] for c in stay] + [T.StructField(n, spark_type) for n, (spark_type, _) in results.items()])
     source = given.select(*stay, given[column].cast(kind).alias("_segment_value"))
@@ -236,8 +342,7 @@ def _mapped(given: DataFrame, column: str, kind: str, keep: bool, results: dict[
         for batch in batches:
             last = batch.column(batch.num_columns - 1)
             values = texts(last) if kind == "string" else last.to_pylist()
-            rows = (row(tokenizer, value) for value in values)
-            yield from _batched(rows, [*stay, *results], [arrow for _, arrow in results.values()], batch.columns[:-1])
+            yield from _batched(make(tokenizer, values), [*stay, *results], [arrow for _, arrow in results.values()], batch.columns[:-1])
 
     return source.mapInArrow(task, schema)
 
@@ -249,29 +354,27 @@ _DECODED = {"decoded": (T.StringType(), pa.string())}
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_tokens`` and ``ids`` (binary, little-endian unsigned 32-bit integers)."""
 
-    def row(tokenizer: Tokenizer, value: str):
-        ids = tokenizer.encode(value)
-        return len(ids) // 4, ids, len(ids)
+    def make(tokenizer: Tokenizer, values: list[str]):
+        return ((len(ids) // 4, ids, len(ids)) for ids in tokenizer.encode_all(values))
 
-    return _mapped(docs, text, "string", keep_text, _IDS, vocabulary, row)
+    return _mapped(docs, text, "string", keep_text, _IDS, vocabulary, make)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", keep_ids: bool = True) -> DataFrame:
     """``encoded`` with ``decoded`` (text)."""
 
-    def row(tokenizer: Tokenizer, value: bytes | None):
-        body = tokenizer.decode(value or b"")
-        return body, 4 * len(body)
+    def make(tokenizer: Tokenizer, values: list[bytes | None]):
+        return ((body, 4 * len(body)) for body in (tokenizer.decode(value or b"") for value in values))
 
-    return _mapped(encoded, ids, "binary", keep_ids, _DECODED, vocabulary, row)
+    return _mapped(encoded, ids, "binary", keep_ids, _DECODED, vocabulary, make)
 
 
 def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep_text: bool = True) -> DataFrame:
     """``encode`` and ``decode`` in one pass: ``docs`` with ``n_tokens``, ``ids`` and ``decoded`` (text, from the ids alone)."""
 
-    def row(tokenizer: Tokenizer, value: str):
-        ids = tokenizer.encode(value)
-        body = tokenizer.decode(ids)
-        return len(ids) // 4, ids, body, len(ids) + 4 * len(body)
+    def make(tokenizer: Tokenizer, values: list[str]):
+        for ids in tokenizer.encode_all(values):
+            body = tokenizer.decode(ids)
+            yield len(ids) // 4, ids, body, len(ids) + 4 * len(body)
 
-    return _mapped(docs, text, "string", keep_text, _IDS | _DECODED, vocabulary, row)
+    return _mapped(docs, text, "string", keep_text, _IDS | _DECODED, vocabulary, make)

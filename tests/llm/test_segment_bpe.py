@@ -47,6 +47,10 @@ def test_merges_by_definition():
                         pairs[a << 32 | b] = len(made)
                 made.append(token)
         piece = bytes(r.choice(b"abc") for _ in range(r.randint(0, 40)))
+        if piece:
+            forest = segment_bpe.Forest(pairs, made)
+            ids, counts = forest.merge(np.frombuffer(piece * 2, np.uint8).astype(np.int64), np.array([len(piece)] * 2))
+            assert ids.tolist() == 2 * bpe.merge(piece, ranks) and counts.tolist() == [len(ids) // 2] * 2
         assert segment_bpe.merge_piece([base[bytes([b])] for b in piece], pairs.get, made) == (bpe.merge(piece, ranks) if piece else [])
 
 
@@ -63,6 +67,7 @@ def test_as_the_library_does(own, library):
         want = library.encode(text, add_special_tokens=False).ids
         assert ids(own.encode(text)) == want, repr(text)
         assert own.decode(own.encode(text)) == library.decode(want, skip_special_tokens=False) == text
+    assert [ids(x) for x in own.encode_all(some)] == [library.encode(t, add_special_tokens=False).ids for t in some]
     parts = [[r.randint(0, 50256) for _ in range(20)] for _ in range(200)]
     for part in parts:
         assert own.decode(np.array(part, "<u4").tobytes()) == library.decode(part, skip_special_tokens=False)
@@ -80,6 +85,7 @@ def test_splitting_of_every_character(own, library):
 
 def test_long_texts_are_cut_where_no_piece_reaches(own, library, monkeypatch):
     monkeypatch.setattr(bpe.spans, "__defaults__", (50,))
+    monkeypatch.setattr(segment_bpe, "GROUP", 200)
     text = "word  two\n\n three's ՘ x" * 60
     assert ids(own.encode(text)) == library.encode(text, add_special_tokens=False).ids
 
