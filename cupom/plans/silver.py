@@ -191,7 +191,8 @@ VNA_FIELD_ALIASES = {
     "vna": ("vna", "VNA", "valor_vna", "valor"),
     "data_referencia": ("data_referencia", "data", "Data", "dt_referencia"),
 }
-_MAP = T.MapType(T.StringType(), T.StringType())
+#: A title's fields under every alias, exact in case (``vna`` and ``VNA`` are two).
+_TITLE = T.StructType([T.StructField(k, T.StringType()) for keys in VNA_FIELD_ALIASES.values() for k in keys])
 
 
 def _pick(m: str, keys) -> "F.Column":
@@ -200,22 +201,25 @@ def _pick(m: str, keys) -> "F.Column":
 
 def vna_records(payload: DataFrame, record_col: str = "rec", order: Sequence[str] = ("_seq",)) -> DataFrame:
     """N1 for VNA payloads: day records → one row per title, the day's date pushed down when the
-    title lacks one (P9 alias lookup per field). Records are ``map<string,string>``: JSON keys that
-    differ only in case (``vna`` / ``VNA``) stay distinct, which a struct schema cannot do.
+    title lacks one (P9 alias lookup per field). Day records are ``map<string,string>``: JSON keys that
+    differ only in case stay distinct. Titles are parsed once, by the generator (an outer one, so that no
+    filter that Spark infers parses them again), into records whose fields are taken by position.
 
     A day record without a title list but with a selic code is itself a title row.
     """
     m = F.col(record_col)
     titles_text = F.coalesce(*[m.getItem(k) for k in VNA_TITLES_ALIASES])
-    x = payload.select(*order, _pick(record_col, VNA_DATE_ALIASES).alias("_day"),
-                       F.from_json(titles_text, T.ArrayType(_MAP)).alias("_titles"),
-                       F.when(titles_text.isNull() & _pick(record_col, VNA_FIELD_ALIASES["codigo_selic"]).isNotNull(),
-                              F.array(m)).alias("_self"))
-    x = x.select(*order, "_day", F.coalesce("_titles", "_self").alias("_titles"))
-    e = x.select(*order, "_day", F.posexplode("_titles").alias("_pos", "_t")).where(F.col("_t").isNotNull())
-    fields = [_pick("_t", keys).alias(name) for name, keys in VNA_FIELD_ALIASES.items() if name != "data_referencia"]
-    day = F.coalesce(_pick("_t", VNA_FIELD_ALIASES["data_referencia"]), F.col("_day"))
-    return e.select(*order, "_pos", day.alias("data_referencia"), *fields)
+    own = F.struct(*[m.getItem(f.name).alias(f.name) for f in _TITLE])
+    is_title = titles_text.isNull() & _pick(record_col, VNA_FIELD_ALIASES["codigo_selic"]).isNotNull()
+    titles = F.coalesce(F.from_json(titles_text, T.ArrayType(_TITLE)), F.when(is_title, F.array(own)))
+    x = payload.select(*order, _pick(record_col, VNA_DATE_ALIASES).alias("_day"), F.posexplode_outer(titles).alias("_pos", "_t"))
+    x = x.where(F.col("_t").isNotNull()).select(*order, "_day", "_pos", "_t.*")
+    x = x.toDF(*order, "_day", "_pos", *[f"_f{i}" for i in range(len(_TITLE))])
+    places, fields = iter(range(len(_TITLE))), {}
+    for name, keys in VNA_FIELD_ALIASES.items():
+        fields[name] = F.coalesce(*[F.col(f"_f{next(places)}") for _ in keys])
+    day = F.coalesce(fields.pop("data_referencia"), F.col("_day"))
+    return x.select(*order, "_pos", day.alias("data_referencia"), *[c.alias(n) for n, c in fields.items()])
 
 
 def vna(rows: DataFrame, partition_col: str | None = None, dates: DataFrame | None = None,

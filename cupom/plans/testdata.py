@@ -456,8 +456,7 @@ def explode_titles(spark, sf):
                       F.date_add(d, F.col("l_linenumber")).cast("string").alias("data_referencia"))
     payload = F.to_json(F.struct(d.cast("string").alias("data_referencia"), F.array(first, second).alias("titulos")))
     landed = li.select(_li_seq().alias("_seq"), payload.alias("payload"))
-    records = landed.select("_seq", F.explode(F.from_json(F.concat(F.lit("["), "payload", F.lit("]")),
-                                                          _VNA_PAYLOAD)).alias("rec"))
+    records = landed.select("_seq", F.explode_outer(F.from_json(F.concat(F.lit("["), "payload", F.lit("]")), _VNA_PAYLOAD)).alias("rec"))
     rows = silver.vna_records(records, "rec", ["_seq"])
     return silver.vna(rows, order=["_seq", "_pos"])
 
