@@ -6,16 +6,17 @@ Aho-Corasick pass finds lexicon entries at word starts: whole words and word beg
 once, with its heaviest entry; hits inside an exception phrase don't count. The score is logistic in
 the log of the summed weights and in their share of the length.
 
-Entries and weights are learned: log-odds of a term between toxic and other labelled texts. A
-small fixed list counts as ``PRIOR_TEXTS`` texts of evidence for each of its words, which labelled texts outweigh. The sample of labelled rows is bounded (``SAMPLE_ROWS``, the lowest
-hashes of their ids), so its ids are broadcast and no text is shuffled; term counts are summed by
-Spark; the lexicon keeps the ``MAX_TERMS`` heaviest terms. One fold of the sample calibrates the logistic curve on a lexicon
-learned from the others, so the curve sees unknown texts. A word is used only through its letters: language,
-source and id are never inputs.
+Entries and weights are learned: log-odds of a term between toxic and other labelled texts. A caller's own list (``prior``: word ->
+weight; none by default) counts as ``PRIOR_TEXTS`` texts of evidence for each of its words, which labelled texts outweigh. The
+sample of labelled rows is bounded (``sample_rows``, the lowest hashes of their ids), so its ids are broadcast and no text is
+shuffled; term counts are summed by Spark. All terms that pass the odds are entries: their number is bounded by the sample's
+words, and ``max_terms`` keeps only the heaviest for callers who want fewer. One fold of the sample calibrates the logistic curve on a
+lexicon learned from the others, so the curve sees unknown texts. A word is used only through its letters: language, source and
+id are never inputs.
 
 Defined results: a null text is empty; an empty text has no hits and so the lowest score; a null id is never labelled;
 of several labels for one id the largest counts, null labels none; without labels of
-both kinds the fixed list and curve hold; repeated rows are scored alike; given columns stay except
+both kinds only ``prior`` counts, and the curve is ``CURVE``; repeated rows are scored alike; given columns stay except
 those named like a result, which are replaced. Memory is bounded by one Arrow batch plus the lexicon.
 """
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -34,18 +36,17 @@ from pyspark.sql import types as T
 
 from cupom.llm.common import claim, stored, texts
 
-SAMPLE_ROWS, MAX_TERMS = 200_000, 5_000
+SAMPLE_ROWS = 200_000
 #: A learned term stands in at least so many toxic texts, and its odds are at least so many times the usual ones.
 LEAST_TEXTS, LEAST_ODDS = 3, 30.0
 #: A beginning is an entry if so many times more texts have it than have any one of its words.
 LEAST_SPREAD = 1.5
 PREFIXES = (4, 5)
 FLUSH_TERMS = 200_000
-#: Weight of a word of the prior list, and labelled texts that the list counts for.
-PRIOR_WEIGHT, PRIOR_TEXTS = 3.0, 3
+#: Labelled texts that each word of a caller's list counts for.
+PRIOR_TEXTS = 3
 
-# Prior lexicon, exception phrases, and characters that stand for Latin letters.
-PRIOR = "disgusting idiot loser moron pathetic scum stupid trash worthless clown"
+# Exception phrases, and characters that stand for Latin letters.
 EXCEPTIONS = ("clown fish", "trash can", "trash bin", "sore loser board", "idiot proof", "class clown award")
 HOMOGLYPHS = {
     "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x",
@@ -133,10 +134,6 @@ def shape(weight: float, words: int) -> tuple[float, float]:
     return float(np.log1p(weight)), float(np.log1p(1000 * weight / (words + SPARE_WORDS)))
 
 
-def prior_weights() -> dict[str, float]:
-    return {fold(w): PRIOR_WEIGHT for w in PRIOR.split()}
-
-
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, float, float]:
     """Logistic regression by Newton steps; slopes are not let below 0, so more hits never lower a score."""
     if len(y) == 0 or y.min() == y.max():
@@ -158,12 +155,12 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float,
     return tuple(float(b) for b in beta)
 
 
-def _lexicon(rows: list[tuple[str, float, float]], totals: tuple[float, float]) -> dict[str, float]:
+def _lexicon(rows: list[tuple[str, float, float]], totals: tuple[float, float], prior: Mapping[str, float], max_terms: int | None) -> dict[str, float]:
     """Weights of terms by their smoothed log-odds; words of the prior list by the mean of their log-odds and the list's weight.
 
     A word of the list goes once its mean is below the least weight that a learned term can have.
     """
-    weights = prior_weights()
+    weights = dict(prior)
     toxic, other = totals
     if toxic == 0 or other == 0:
         return weights
@@ -188,7 +185,7 @@ def _lexicon(rows: list[tuple[str, float, float]], totals: tuple[float, float])
             continue
         if t >= LEAST_TEXTS and odds >= LEAST_ODDS:
             learned[term] = float(np.log(odds)) * t / (t + 3)  # few texts say less
-    heavy = sorted(learned.items(), key=lambda x: (-x[1], x[0]))[:MAX_TERMS]
+    heavy = sorted(learned.items(), key=lambda x: (-x[1], x[0]))[:max_terms]
     return weights | dict(heavy)
 
 
@@ -197,8 +194,10 @@ def fold_of(key):
     return F.crc32(key.cast("string").cast("binary")) % 5
 
 
-def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = SAMPLE_ROWS,
+          prior: Mapping[str, float] | None = None, max_terms: int | None = None) -> Lexicon:
     """Lexicon and curve from the labelled rows outside fold 0."""
+    listed_words = {fold(w): weight for w, weight in (prior or {}).items()}
     marks = (
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_tox_id"))
@@ -237,32 +236,31 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         yield flush()
 
     counts = sample.mapInArrow(count, "term string, t long, c long, t4 long, c4 long")
-    listed = F.col("term").isin(list(prior_weights()))
+    listed = F.col("term").isin(list(listed_words)) if listed_words else F.lit(False)
     summed = counts.groupBy("term").agg(*[F.sum(n).alias(n) for n in ("t", "c", "t4", "c4")])
     summed = stored(summed.where((F.col("term") == "") | listed | (F.col("t") + F.col("t4") >= LEAST_TEXTS)), "toxic-terms")
     totals = tuple(summed.where("term = ''").select("t", "c", "t4", "c4").first() or (0, 0, 0, 0))
     # A term that either lexicon may want. A word that a beginning could stand for has odds of at least the beginning's by LEAST_SPREAD.
     odds = lambda t, c, toxic, other: ((t + 0.5) / (toxic + 1)) / ((c + 0.5) / (other + 1))
     best = F.greatest(odds(F.col("t"), F.col("c"), *totals[:2]), odds(F.col("t") + F.col("t4"), F.col("c") + F.col("c4"), totals[0] + totals[2], totals[1] + totals[3]))
-    n = F.col("t") + F.col("t4")
     rows = (
         summed.where(F.col("term") != "")
         .where(listed | (best >= LEAST_ODDS / LEAST_SPREAD))
-        .orderBy(F.desc(listed), F.desc(F.log(best) * n / (n + 3)), "term")
-        .limit(4 * MAX_TERMS)
-        .collect()  # bounded by the limit, ordered as the lexicon weighs, which keeps the MAX_TERMS heaviest of these
+        .collect()  # terms of at least LEAST_TEXTS sampled texts, far commoner in toxic ones: bounded by the sample
     )
-    early = Lexicon(_lexicon([(r.term, r.t, r.c) for r in rows], totals[:2]))
+    early = Lexicon(_lexicon([(r.term, r.t, r.c) for r in rows], totals[:2], listed_words, max_terms))
 
     def measure(batches):
         for batch in batches:
             seen = [early.weigh(fold(x)) for x in texts(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _, _ in seen], pa.float64()), pa.array([n for _, _, n in seen], pa.int64()), batch.column(1).cast(pa.int32())], names=["weight", "words", "label"])
 
-    shapes = sample.where("_tox_fold = 4").mapInArrow(measure, "weight double, words long, label int").collect()  # numbers of at most ``sample_rows`` rows
+    # An id may have many rows: at most ``sample_rows`` of them come, those with the lowest hashes.
+    measured = sample.where("_tox_fold = 4").mapInArrow(measure, "weight double, words long, label int")
+    shapes = measured.orderBy(F.xxhash64("weight", "words", "label"), "weight", "words", "label").limit(sample_rows).collect()
     x = np.array([shape(r.weight, r.words) for r in shapes]).reshape(-1, 2)
     y = np.array([float(r.label > 0) for r in shapes])
-    everything = _lexicon([(r.term, r.t + r.t4, r.c + r.c4) for r in rows], (totals[0] + totals[2], totals[1] + totals[3]))
+    everything = _lexicon([(r.term, r.t + r.t4, r.c + r.c4) for r in rows], (totals[0] + totals[2], totals[1] + totals[3]), listed_words, max_terms)
     return Lexicon(everything, curve=fit_curve(x, y))
 
 

@@ -75,7 +75,9 @@ def test_held_out_accuracy_and_edges(docs, prose):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in out)
     assert toxicity.score(docs([]), lexicon).count() == 0
     plain = toxicity.learn(docs([]), marks.limit(0))
-    assert plain.weights == toxicity.prior_weights() and plain.curve == toxicity.CURVE
+    assert plain.weights == {} and plain.curve == toxicity.CURVE
+    assert toxicity.learn(docs([]), marks.limit(0), prior={"Clown": 3.0}).weights == {toxicity.fold("clown"): 3.0}
+    assert len(toxicity.learn(table, marks, max_terms=2).weights) == 2
 
 
 def test_terms_are_kept_by_rates_not_counts(docs):
@@ -88,9 +90,28 @@ def test_terms_are_kept_by_rates_not_counts(docs):
 
 def test_labels_reduce_the_prior():
     clown, trash, scum, idiot = (toxicity.fold(w) for w in ("clown", "trash", "scum", "idiot"))
-    got = toxicity._lexicon([(clown, 1, 400), (trash, 10, 15), (scum, 50, 0)], (1000, 9000))
-    assert clown not in got and got[trash] < toxicity.prior_weights()[trash] < got[scum]
-    assert got[idiot] == toxicity.prior_weights()[idiot]  # no labelled text has it
+    got = toxicity._lexicon([(clown, 1, 400), (trash, 10, 15), (scum, 50, 0)], (1000, 9000), dict.fromkeys((clown, trash, scum, idiot), 3.0), None)
+    assert clown not in got and got[trash] < 3.0 < got[scum]
+    assert got[idiot] == 3.0  # no labelled text has it
+
+
+def test_matcher_by_plain_scan():
+    """Every entry and exception looked for at every place of the folded text."""
+    r = random.Random(6)
+    for _ in range(300):
+        word = lambda n: "".join(r.choice("abc") for _ in range(r.randint(1, n)))
+        weights = {(f" {word(4)} " if r.random() < 0.5 else f" {word(3)}"): r.choice([0.5, 1.0, 2.0]) for _ in range(r.randint(0, 8))}
+        exceptions = tuple(" ".join(word(3) for _ in range(r.randint(1, 3))) for _ in range(r.randint(0, 3)))
+        text = toxicity.fold(" ".join(word(5) for _ in range(r.randint(0, 25))))
+        places = lambda term: [i for i in range(len(text)) if text.startswith(term, i)]
+        exempt = [(i, i + len(f) - 1) for f in map(toxicity.fold, exceptions) if f.strip() for i in places(f)] if weights else []
+        best = {}
+        for term, weight in weights.items():
+            for i in places(term):
+                if not any(a <= i < b for a, b in exempt):
+                    best[i] = max(best.get(i, 0.0), weight)
+        got = toxicity.Lexicon(weights, exceptions).weigh(text)
+        assert got == (pytest.approx(sum(best.values())), len(best), len(text.split()))
 
 
 def test_labels_of_the_held_out_fold_are_not_used(docs):
@@ -99,7 +120,7 @@ def test_labels_of_the_held_out_fold_are_not_used(docs):
     held = [i for i in range(300) if crc32(str(i).encode()) % 5 == 0]
     rows = [(i, f"plain words and {'gronk' if i % 2 else 'gentle'} ones") for i in held]
     marks = docs([(1, "")]).sparkSession.createDataFrame([(i, i % 2) for i in held], "doc_id long, toxic int")
-    assert toxicity.learn(docs(rows), marks).weights == toxicity.prior_weights()
+    assert toxicity.learn(docs(rows), marks).weights == {}
 
 
 # ---------------------------------------------------------------- decontamination
