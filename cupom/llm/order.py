@@ -1,16 +1,18 @@
 """Training order: every sequence gets a global slot, shards hold the slots in order.
 
 Documents are encoded, an end token closes each, and the ids are cut into sequences of ``length``. A keyed hash
-of (doc_id, part) deals sequences to ranges of slots, as many as the text needs at ``range_bytes`` each. A range's task
+of (doc_id, text's ids, part) deals sequences to ranges of slots, as many as the text needs at ``range_bytes`` each. A range's task
 sorts its n sequences by (doc_id, part, ids) and gives the i-th the slot that a keyed Feistel permutation of
 [0, 4^h) with 4^h >= n assigns it, walking the cycle until the slot is below n; global slots follow by adding the sizes of the ranges
-before. So slots are a bijection that depends on the rows and the key alone, not on how the input was split; it needs no count
-of all sequences beforehand, no staged copy and only one shuffle of ids. Each range is a shard of records of
+before. So slots are a bijection, and depend on the rows and the key alone as long as no (doc_id, text) repeats; it needs no
+count of all sequences beforehand, no staged copy and only one shuffle of ids. Each range is a shard of records of
 one fixed stride: slot s stands at byte (s - first_slot) * stride of the shard that holds it, and a reader can start, stop and
 resume at any slot.
 
-A document's sequences spread over all ranges; rows that repeat are dealt by how often their id came before in their
-input split, so a hot one spreads too. Memory per task: an Arrow batch, or one range.
+A document's sequences spread over all ranges. Rows of one id with different texts are dealt apart by their ids. Equal rows
+(same id, same text) are dealt by how often they came before in their input split, so that a row repeated any number of times
+spreads, too: how many of the copies a range gets depends on the splits, and with it the slots, not what is written. Memory per task: an Arrow
+batch and 16 bytes for each row of its split, or one range.
 
 Record: doc_id (int64), part (int32), n (int32), then ``length`` ids (16 bits if the vocabulary allows,
 else 32), zero after the n-th; little-endian. Defined results: a null text counts as empty, an empty text is one
@@ -26,6 +28,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -96,10 +99,11 @@ def write_shards(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarr
         encode, met = encoder(), Counter()
 
         def batch():
-            documents, parts, times, ids = zip(*cut, strict=True)
+            documents, parts, contents, times, ids = zip(*cut, strict=True)
             with np.errstate(over="ignore"):
-                mixed = _mix(_mix(np.array([NO_ID if d is None else d for d in documents], np.int64).view(np.uint64), own_key) + np.array(parts, np.uint64), own_key)
-                mixed = _mix(mixed + np.array(times, np.uint64), own_key)
+                mixed = _mix(np.array([NO_ID if d is None else d for d in documents], np.int64).view(np.uint64), own_key)
+                for more in (contents, parts, times):
+                    mixed = _mix(mixed + np.array(more, np.uint64), own_key)
             return pa.RecordBatch.from_arrays([pa.array((mixed % np.uint64(n_ranges)).astype(np.int32)), pa.array(documents, pa.int64()), pa.array(parts, pa.int32()), pa.array(ids, pa.binary())], names=["range", "doc_id", "part", "ids"])
 
         cut = []
@@ -109,12 +113,14 @@ def write_shards(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarr
                 if not wide and int(ids.max()) > 0xFFFF:
                     raise ValueError("an id needs more than 16 bits: write wide shards")
                 raw = ids.astype(kind).tobytes()
+                content = xxhash.xxh64_intdigest(raw)
+                row = xxhash.xxh128_digest(b"%d:%d" % (NO_ID if document is None else document, content))
                 for part, at in enumerate(range(0, len(raw), length * kind.itemsize)):
-                    cut.append((document, part, met[document], raw[at : at + length * kind.itemsize]))
+                    cut.append((document, part, content, met[row], raw[at : at + length * kind.itemsize]))
                     if len(cut) >= BATCH_ROWS:
                         yield batch()
                         cut = []
-                met[document] += 1
+                met[row] += 1
         if cut:
             yield batch()
 

@@ -26,7 +26,7 @@ FROM sized GROUP BY conv_id
 URL_SQL = r"""
 WITH pages_ AS (
   SELECT page_id, url,
-         nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '.'), '') AS host,
+         nullif(rtrim(lower(trim(regexp_extract(trim(url), '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#]*@)?(\[[^\]]*\]|[^/:?#@]+)', 1))), '.'), '') AS host,
          DATE '2024-01-01' + CAST(('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 7))::BIGINT % 360 AS INTEGER) AS fetch_date
   FROM pages
 ), hosts AS (SELECT DISTINCT host FROM pages_ WHERE host IS NOT NULL),

@@ -13,7 +13,9 @@ reduced to distinct pairs (partial aggregation on the map side): a host with a t
 becomes one row per day before the first shuffle; the verdicts then go back by an equi-join, which
 AQE may split where one pair is hot.
 
-Defined results: entries with a null list, pattern, date or an unknown action are ignored; of several
+Patterns are brought into the form of hosts (lower case, no blanks around them, no dot after them).
+
+Defined results: entries with a null list, a null or empty pattern, a null date or an unknown action are ignored; of several
 actions for one list, pattern and day, ``remove`` wins; repeated entries change nothing. A capture
 with a null or hostless URL, or no fetch date, gets no active list and ``pass``. All captures stay,
 repeated ones too, with all their columns; a column already named like a result column is replaced.
@@ -25,13 +27,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Scheme, optional user info, then the host up to a port, path, query or fragment.
-HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
+#: Optional scheme, user info up to the last @, then the host (a bracketed address too) up to a port, path, query or fragment.
+HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#]*@)?(\[[^\]]*\]|[^/:?#@]+)"
+
+
+def as_host(text: Column) -> Column:
+    """A host's one form: lower case, without blanks around it or dots after it; null when nothing is left."""
+    return F.nullif(F.rtrim(F.lower(F.trim(text)), F.lit(".")), F.lit(""))
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host without a trailing dot; null when there is none."""
-    return F.nullif(F.rtrim(F.lower(F.regexp_extract(url, HOST, 1)), F.lit(".")), F.lit(""))
+    """Host of a URL; null when there is none."""
+    return as_host(F.regexp_extract(F.trim(url), HOST, 1))
 
 
 def suffixes(host: Column) -> Column:
@@ -44,8 +51,9 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     """(list_name, pattern, valid_from, valid_to) with ``valid_to`` exclusive and null while open."""
     action = F.lower(F.col("action"))
     days = (
-        entries.where(F.col("list_name").isNotNull() & F.col("pattern").isNotNull() & F.col("effective_date").isNotNull() & action.isin("add", "remove"))
-        .groupBy("list_name", F.lower(F.col("pattern")).alias("pattern"), F.col("effective_date").cast("date").alias("valid_from"))
+        entries.withColumn("pattern", as_host(F.col("pattern")))
+        .where(F.col("list_name").isNotNull() & F.col("pattern").isNotNull() & F.col("effective_date").isNotNull() & action.isin("add", "remove"))
+        .groupBy("list_name", "pattern", F.col("effective_date").cast("date").alias("valid_from"))
         .agg(F.min(action == "add").alias("on"))  # one row per day at most: a key is bounded by the calendar
     )
     w = Window.partitionBy("list_name", "pattern").orderBy("valid_from")

@@ -76,6 +76,19 @@ def test_verdicts_as_of_the_fetch_date(spark):
     ]
 
 
+def test_hosts_and_patterns_in_one_form(spark):
+    urls = {
+        "http://user:p@ss@Evil.com/": "evil.com", "//evil.com/x": "evil.com", " https://evil.com.?q=a@b": "evil.com", "http://[2001:db8::1]:80/x": "[2001:db8::1]",
+        "mailto:a@evil.com": None, "http:///x": None, "": None, "http://a.com/" + "x@y/" * 20_000: "a.com", "http://" + "u" * 50_000 + "@b.com": "b.com",
+    }
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {r.url: r.host for r in df.select("url", url_lists.host_of(F.col("url")).alias("host")).collect()} == urls
+    entries = [("spam", "evil.com.", "add", DAY(0), ""), ("spam", " Bad.org ", "add", DAY(0), ""), ("spam", " . ", "add", DAY(0), "")]
+    rows = [(1, "http://x.evil.com", DAY(1), ""), (2, "http://bad.org.", DAY(1), ""), (3, "http://good.org", DAY(1), "")]
+    out = url_lists.judge(spark.createDataFrame(rows, CAPTURES), spark.createDataFrame(entries, ENTRIES)).collect()
+    assert {r.page_id: r.verdict for r in out} == {1: "block", 2: "block", 3: "pass"}
+
+
 def test_empty_lists_and_captures(spark):
     none, some = spark.createDataFrame([], ENTRIES), spark.createDataFrame([(1, "http://a.com", DAY(0), "")], CAPTURES)
     assert [r.verdict for r in url_lists.judge(some, none).collect()] == ["pass"]
