@@ -14,7 +14,8 @@ each backslash and keeps what follows it, so ``parse`` gives back every row exac
 Defined results: null text or role counts as empty; rows sort by (turn, role, text), nulls first, so
 ties and repeated rows have one fixed order and repeated rows all stay; a null conv_id is one
 conversation of its own; an empty table gives no rows; other columns are ignored. A conversation is
-one output value, so its rows meet in one task: its text is bounded by what one string can hold.
+one output value, so its rows meet in one task: its text, four bytes to a character, is bounded by what one value can hold.
+Time is in proportion to a conversation's rows and text.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, END, MORE = "<|im_start|>", "<|im_end|>", "<|im_more|>"
+#: Pieces whose lengths are summed, and spans appended, at a time.
+BLOCK = 256
 
 
 def escape(text: Column) -> Column:
@@ -64,7 +67,8 @@ def format_conversations(
             starts,
             lambda s, j: F.struct(
                 F.get(turns, s)["role"].alias("role"),
-                F.transform(F.slice(turns, s + 1, F.coalesce(F.get(starts, j + 1), F.size(turns)) - s), lambda t: t["text"]).alias("texts"),
+                # By index: a slice inside a lambda would copy the whole array first.
+                F.transform(F.sequence(s, F.coalesce(F.get(starts, j + 1), F.size(turns)) - 1), lambda i: F.get(turns, i)["text"]).alias("texts"),
             ),
         ).alias("messages"),
     )
@@ -80,22 +84,45 @@ def format_conversations(
         ),
     )
     pieces = F.col("_pieces")
-    spans = F.aggregate(
-        F.transform(pieces, lambda p: F.struct(F.length(p["mark"]).alias("mark"), F.length(p["body"]).alias("body"), p["loss"].alias("loss"))),
-        F.struct(F.lit(1).alias("at"), F.expr("cast(array() as array<struct<start:int,length:int>>)").alias("spans")),
-        lambda a, p: F.struct(
-            (a["at"] + p["mark"] + p["body"]).alias("at"),
-            F.when(p["loss"], F.concat(a["spans"], F.array(F.struct((a["at"] + p["mark"]).alias("start"), p["body"].alias("length")))))
-            .otherwise(a["spans"])
-            .alias("spans"),
-        ),
-    )["spans"]
-    return merged.withColumn("_pieces", F.flatten(F.transform(F.col("messages"), piece))).select(
+    cut = merged.withColumn("_pieces", F.flatten(F.transform(F.col("messages"), piece))).select(
         conv,
         "messages",
         F.concat(F.array_join(F.transform(pieces, lambda p: F.concat(p["mark"], p["body"])), ""), F.lit(END + "\n")).alias("formatted"),
-        spans.alias("loss_spans"),
+        F.transform(pieces, lambda p: F.struct(F.length(p["mark"]).alias("mark"), F.length(p["body"]).alias("body"), p["loss"].alias("loss"))).alias("_sizes"),
     )
+    return cut.withColumn("_before", _before(F.col("_sizes"))).select(conv, "messages", "formatted", _spans(F.col("_sizes"), F.col("_before")).alias("loss_spans"))
+
+
+def _blocks(sizes: Column) -> Column:
+    return F.sequence(F.lit(0), F.size(sizes) - 1, F.lit(BLOCK))
+
+
+def _places(sizes: Column, block: Column) -> Column:
+    return F.sequence(block, F.least(block + BLOCK, F.size(sizes)) - 1)
+
+
+def _before(sizes: Column) -> Column:
+    """Code points before each block of pieces: the prefix sums of the blocks' lengths."""
+    length = lambda i: F.get(sizes, i)["mark"] + F.get(sizes, i)["body"]
+    totals = F.transform(_blocks(sizes), lambda b: F.aggregate(_places(sizes, b), F.lit(0), lambda a, i: a + length(i)))
+    none = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("all"))
+    return F.aggregate(totals, none, lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["all"], F.array(a["at"])).alias("all")))["all"]
+
+
+def _spans(sizes: Column, before: Column) -> Column:
+    """Start and length of every loss text: each block of pieces appends its own, from the block's prefix sum on."""
+
+    def block(at: Column, k: Column) -> Column:
+        none = F.struct((at + 1).alias("at"), F.expr("cast(array() as array<struct<start:int,length:int>>)").alias("spans"))
+
+        def add(a: Column, i: Column) -> Column:
+            size = F.get(sizes, i)
+            own = F.array(F.struct((a["at"] + size["mark"]).alias("start"), size["body"].alias("length")))
+            return F.struct((a["at"] + size["mark"] + size["body"]).alias("at"), F.when(size["loss"], F.concat(a["spans"], own)).otherwise(a["spans"]).alias("spans"))
+
+        return F.aggregate(_places(sizes, k * BLOCK), none, add)["spans"]
+
+    return F.flatten(F.transform(before, block))
 
 
 def parse(formatted: Column) -> Column:
@@ -112,5 +139,11 @@ def parse(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped and end to end."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substr(formatted, s["start"], s["length"]))), "")
+    """All text under the loss mask, unescaped and end to end.
+
+    It is cut from four-byte characters, since finding a place in UTF-8 text means reading all before it. Each cut begins one
+    character early, at the end of a mark: a byte order mark at the head of what is decoded would get lost.
+    """
+    wide = F.array(F.encode(formatted, "UTF-32"))
+    cut = lambda w, s: F.decode(F.substring(w, s["start"] * 4 - 7, (s["length"] + 1) * 4), "UTF-32")
+    return F.get(F.transform(wide, lambda w: F.array_join(F.transform(spans, lambda s: unescape(F.substr(cut(w, s), F.lit(2)))), "")), F.lit(0))

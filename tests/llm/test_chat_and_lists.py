@@ -34,6 +34,18 @@ def test_adjacent_rows_of_a_role_share_a_block(spark):
     assert got.loss == "cd" and len(got.turns) == 4
 
 
+def test_many_turns_and_byte_order_marks(spark):
+    # Several blocks of pieces, a last one that is short; marks at the head of a text, characters of one to four bytes.
+    texts = ["\ufeffmark", "\ufeff", "é🙂\\<|", "", "plain", "x" * 3000]
+    for n in (chat.BLOCK - 1, chat.BLOCK, chat.BLOCK + 1, 3 * chat.BLOCK + 7):
+        rows = [(1, i, ("user", "assistant", "assistant", "tool")[i * i % 7 % 4], texts[i % len(texts)], "") for i in range(n)]
+        got = read_back(spark.createDataFrame(rows, TURNS))[1]
+        assert [(t.role, t.text) for t in got.turns] == [(r, t) for _, _, r, t, _ in rows]
+        said = [t for _, _, r, t, _ in rows if r == "assistant"]
+        assert got.loss == "".join(said) and len(got.loss_spans) == len(said)
+        assert [chat.START not in got.formatted[s.start - 1 : s.start - 1 + s.length] for s in got.loss_spans] == [True] * len(said)
+
+
 def test_no_rows(spark):
     assert chat.format_conversations(spark.createDataFrame([], TURNS)).count() == 0
 
