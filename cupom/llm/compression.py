@@ -3,8 +3,10 @@
 A text is squeezed with Zstandard as a whole and in fixed chunks; ratio = compressed / raw bytes. Text
 that repeats itself has a low ratio, noise (encoded data, random characters) a high one. The natural
 ratio depends on length, since short texts have little to refer back to, so each limit holds for
-a range of lengths (``BANDS``; ``CHUNK_BANDS`` for chunks). Texts under 200 bytes and chunks under 1000 aren't judged by ratio. A text passes if its whole ratio is within its band, and if the
-share of chunks outside theirs is at most ``chunk_share``.
+a range of lengths (``BANDS``; ``CHUNK_BANDS`` for chunks). Below 200 bytes a frame's own bytes outweigh what noise adds, so that
+range has only a lower limit. A last chunk below ``LEAST_CHUNK`` bytes is joined to the one before it; a text below it has one chunk, itself,
+which the limits for whole texts judge. A text passes if its whole ratio is within its band, and if the share of chunks outside theirs is
+at most ``chunk_share``.
 
 Words are maximal runs of bytes other than ASCII white space. Defined results: a null text is empty;
 an empty text has ratio 0 and fails the base rules (fewer than ten words); rows are judged one by one, so repeated
@@ -24,10 +26,10 @@ from cupom.llm.common import text_bytes
 
 WHITE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
-LEVEL, CHUNK = 3, 4096
+LEVEL, CHUNK, LEAST_CHUNK = 3, 4096, 1000
 #: (least bytes, lowest ratio, highest ratio): the last line whose length is reached holds.
-BANDS = ((0, 0.0, 2.0), (200, 0.4, 0.95), (1000, 0.33, 0.75), (5000, 0.28, 0.65), (20000, 0.22, 0.62))
-CHUNK_BANDS = ((0, 0.0, 2.0), (1000, 0.3, 0.75))
+BANDS = ((0, 0.5, np.inf), (100, 0.45, np.inf), (200, 0.4, 0.95), (1000, 0.33, 0.75), (5000, 0.28, 0.65), (20000, 0.22, 0.62))
+CHUNK_BANDS = ((0, 0.0, np.inf), (LEAST_CHUNK, 0.3, 0.75))
 
 FIELDS = (
     ("n_words", T.LongType()), ("word_chars", T.LongType()), ("n_symbols", T.LongType()), ("n_dup_lines", T.LongType()),
@@ -78,11 +80,13 @@ def compression(text: bytes, squeeze: zstd.ZstdCompressor, bands, chunk_bands, c
         return 0.0, 0, 0, True
     ratio = len(squeeze.compress(text)) / len(text)
     low, high = band(bands, len(text))
-    n = odd = 0
-    for at in range(0, len(text), chunk):
-        part = text[at : at + chunk]
+    cuts = list(range(0, len(text), chunk))
+    if len(cuts) > 1 and len(text) - cuts[-1] < LEAST_CHUNK:
+        cuts.pop()
+    n, odd = len(cuts), 0
+    for start, end in zip(cuts, [*cuts[1:], len(text)], strict=True):
+        part = text[start:end]
         least, most = band(chunk_bands, len(part))
-        n += 1
         odd += not least <= len(squeeze.compress(part)) / len(part) <= most
     return ratio, n, odd, low <= ratio <= high and odd <= chunk_share * n
 

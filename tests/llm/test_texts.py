@@ -40,6 +40,21 @@ def test_quality_verdicts_and_columns(docs, prose):
     assert compression.quality(docs([])).count() == 0
 
 
+def test_short_texts_and_last_chunks(docs, prose):
+    # Ten words in each; few letters over and over, though no five words recur next to each other.
+    stutter = " ".join("ab" * n for n in range(1, 13))
+    rows = [(1, stutter), (2, prose(3, 20)[:150]), (3, prose(4, 14)[:80])]
+    assert len(stutter) < 200
+    got = {r.doc_id: r for r in compression.quality(docs(rows)).collect()}
+    assert not got[1].base_failed and not got[1].kept and got[2].kept and got[3].kept
+    size = compression.CHUNK
+    long = (prose(1, 3000) * 2)[: 3 * size].ljust(3 * size, "a")
+    tails = {0: 3, 1: 3, compression.LEAST_CHUNK - 1: 3, compression.LEAST_CHUNK: 4, size: 4}
+    rows = [(n, long + "q" * n) for n in tails] + [(-1, "q" * (compression.LEAST_CHUNK - 1))]
+    got = {r.doc_id: r.n_chunks for r in compression.quality(docs(rows)).collect()}
+    assert got == {**tails, -1: 1}
+
+
 def test_folding():
     assert toxicity.fold("You ІDIОT, ｉｄｉｏｔ i​diot 1d10t $tup!d!!") == " you idiot idiot idiot idiot stupid "
     assert toxicity.fold("") == "  " and toxicity.fold("...") == "  "
