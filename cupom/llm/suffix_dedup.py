@@ -11,12 +11,12 @@ anchors. Text is kept in blocks of ``BLOCK`` bytes or so, one row each, and bloc
    distinct one, and answers with a bit for each: does a smaller id have it than the smallest of the context?
 3. the block removes what is covered.
 
-The sort is deep-shallow: a radix refinement on eight-byte letters down to ``SHALLOW`` bytes, level by level over all
-groups at once; groups that still tie are ordered by blind tries of their distinct rests. A group that a third
+The sort is deep-shallow: multikey quicksort on eight-byte letters down to ``SHALLOW`` bytes, all open groups parted three ways
+in one round; groups that still tie are ordered by blind tries of their distinct rests. A group that a third
 of all documents shares sends one context per block, so no bucket gets it whole. Messages to buckets are
 proportional to the text and go through ordinary shuffles. Blocks are written to the shared folder once and never shuffled: answers are
 grouped by block and posted as one small file per block beside them, complete before the step that reads them starts, under names that a
-repeated task finds again. A task holds one block, or one bucket's messages (the number of buckets grows with the text).
+repeated task finds again. Every block has its post, if only an empty one: a lost file is an error, not "nothing shared". A task holds one block, or one bucket's messages (the number of buckets grows with the text).
 
 Defined results: a null text is empty; a null id counts as larger than any; rows with equal ids don't
 remove from each other; texts below ``LENGTH`` bytes stay whole; empty tables give no rows; all given columns stay, the text
@@ -179,27 +179,59 @@ def deep_shallow(text: np.ndarray, starts: np.ndarray, length: int = LENGTH, sha
     if n == 0:
         return order, order
     head[0] = True
-    eights = _eights(text)
-    tied = np.arange(n)
-    # Shallow: one letter of eight bytes per level; only ties go on.
-    for depth in range(0, min(shallow, length), 8):
-        letter = eights[starts[order[tied]] + depth].byteswap()
-        if length - depth < 8:
-            letter &= ~np.uint64(0) << np.uint64(8 * (8 - (length - depth)))
-        group = np.cumsum(head)[tied]
-        again = np.lexsort((letter, group)) if depth else np.argsort(letter)
-        letter = letter[again]
-        order[tied] = order[tied][again]
-        head[tied[1:]] |= (letter[1:] != letter[:-1]) & (tied[1:] == tied[:-1] + 1)
-        alone = head & np.concatenate([head[1:], [True]])
-        tied = np.flatnonzero(~alone)
-        if len(tied) == 0:
-            break
+    _multikey(text, starts, order, head, length, min(shallow, length))
+    tied = np.flatnonzero(~(head & np.concatenate([head[1:], [True]])))
     if len(tied) and shallow < length:
         _deep(text, starts, order, head, tied, shallow, length)
     return order, np.cumsum(head) - 1
 
 
+def _letters(eights: np.ndarray, places: np.ndarray, depths: np.ndarray, length: int) -> np.ndarray:
+    """The letters of eight bytes at ``depths`` of the strings at ``places``, without what lies past ``length``."""
+    letter = eights[places + depths].byteswap()
+    short = np.maximum(8 - (length - depths), 0).astype(np.uint64)
+    return letter >> (short * np.uint64(8)) << (short * np.uint64(8)) if short.any() else letter
+
+
+def _multikey(text, starts, order, head, length, shallow) -> None:
+    """Multikey quicksort to ``shallow`` bytes: every open group is parted around a pivot letter of its own.
+
+    A round parts all open groups at once: smaller letters and larger ones stay at the group's depth, equal ones go
+    on to the next letter. Strings come in random order, so that the median of three is as good as any three draws. A
+    group is closed once it has one string or is equal down to ``shallow``.
+    """
+    eights = _eights(text)
+    item = np.random.default_rng(len(starts)).permutation(len(starts))
+    place, size, depth = np.zeros(1, np.int64), np.array([len(starts)]), np.zeros(1, np.int64)
+    letter = _letters(eights, starts[item], np.zeros(len(item), np.int64), length)
+    while len(item):
+        first = np.cumsum(size) - size
+        one, two, three = letter[first], letter[first + size // 2], letter[first + size - 1]
+        pivot = np.repeat(np.maximum(np.minimum(one, two), np.minimum(np.maximum(one, two), three)), size)
+        below, above = letter < pivot, letter > pivot
+        n_below, n_above = np.add.reduceat(below, first, dtype=np.int64), np.add.reduceat(above, first, dtype=np.int64)
+        n_same = size - n_below - n_above
+        parted, sorted_letter = np.empty_like(item), np.empty_like(letter)
+        for which, begin, count in ((below, first, n_below), (~(below | above), first + n_below, n_same), (above, first + n_below + n_same, n_above)):
+            target = ragged(begin, count)
+            parted[target], sorted_letter[target] = item[which], letter[which]
+        # Three groups for each; those without a string vanish.
+        begin = np.stack([place, place + n_below, place + n_below + n_same], 1).ravel()
+        count = np.stack([n_below, n_same, n_above], 1).ravel()
+        deeper = np.stack([depth, depth + 8, depth], 1).ravel()
+        same = np.tile([False, True, False], len(size))
+        some = count > 0
+        place, size, depth, same = begin[some], count[some], deeper[some], same[some]
+        head[place] = True
+        is_open = (size > 1) & (depth < shallow)
+        done = np.repeat(~is_open, size)
+        order[ragged(place[~is_open], size[~is_open])] = parted[done]
+        item, letter = parted[~done], sorted_letter[~done]
+        place, size, depth, same = place[is_open], size[is_open], depth[is_open], same[is_open]
+        fresh = np.flatnonzero(np.repeat(same, size))
+        letter[fresh] = _letters(eights, starts[item[fresh]], np.repeat(depth[same], size[same]), length)
+
+
 def _deep(text, starts, order, head, tied, shallow, length) -> None:
     """Order tied groups by the rest of their strings: groups of one distinct rest are done, others go through a blind trie."""
     first = np.maximum.accumulate(np.where(head[tied], np.arange(len(tied)), 0))
@@ -416,34 +448,42 @@ def _post_path(folder: str, kind: str, block: int) -> str:
 
 
 def post(folder: str, kind: str, block: int, content: bytes) -> None:
-    """Leave a block's post under its name: written aside and moved there whole; a repeated task replaces it by the same."""
+    """Leave a block's post under its name, written aside and moved there whole; what an earlier attempt left is the same and stays."""
     fs, path = open_store(_post_path(folder, kind, block))
+
+    def there() -> bool:
+        return fs.get_file_info(path).type != FileType.NotFound
+
+    if there():
+        return
     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
     aside = f"{path}.{uuid.uuid4().hex}"
     with fs.open_output_stream(aside, compression=None) as f:
         f.write(content)
-    if fs.get_file_info(path).type != FileType.NotFound:
-        fs.delete_file(path)
-    fs.move(aside, path)
+    try:
+        fs.move(aside, path)
+    except OSError:  # another attempt was first
+        if not there():
+            raise
+        fs.delete_file(aside)
 
 
-def fetch(folder: str, kind: str, block: int) -> bytes | None:
-    """A block's post; None if it has none."""
+def fetch(folder: str, kind: str, block: int) -> bytes:
+    """A block's post; an error if it has none."""
     fs, path = open_store(_post_path(folder, kind, block))
-    if fs.get_file_info(path).type == FileType.NotFound:
-        return None
     with fs.open_input_stream(path, compression=None) as f:
         return f.read()
 
 
-def _posted(messages: DataFrame, folder: str, kind: str) -> None:
-    """Group (block, bucket, bits) rows by block and post them; done when this returns."""
+def _posted(messages: DataFrame, blocks: DataFrame, folder: str, kind: str) -> None:
+    """Group (block, bucket, bits) rows by block and post them, an empty list for a block without any; done when this returns."""
+    messages = messages.unionByName(blocks.select("block", F.lit(None).cast("long").alias("bucket"), F.lit(None).cast("binary").alias("bits")))
 
     def task(table: pa.Table) -> pa.Table:
         if table.num_rows == 0:
             return pa.table({"block": pa.array([], pa.int64())})
         block = table.column("block")[0].as_py()
-        rows = sorted(zip(table.column("bucket").to_pylist(), table.column("bits").to_pylist(), strict=True))
+        rows = sorted((k, bits) for k, bits in zip(table.column("bucket").to_pylist(), table.column("bits").to_pylist(), strict=True) if k is not None)
         post(folder, kind, block, pickle.dumps(rows))
         return pa.table({"block": [block]})
 
@@ -451,14 +491,13 @@ def _posted(messages: DataFrame, folder: str, kind: str) -> None:
 
 
 def _answers(folder: str, kind: str, block: int) -> list[tuple[int, bytes]]:
-    content = fetch(folder, kind, block)
-    return pickle.loads(content) if content else []
+    return pickle.loads(fetch(folder, kind, block))
 
 
-def removed(offsets: np.ndarray, where: bytes | None, answers: list[tuple[int, bytes]]) -> np.ndarray:
+def removed(offsets: np.ndarray, where: bytes, answers: list[tuple[int, bytes]]) -> np.ndarray:
     """Step 3: mask of a block's removed bytes."""
     n = int(offsets[-1])
-    if where is None:
+    if not where:
         return np.zeros(n, bool)
     first, number, which, per_context, per_bucket, later = _unpack(where, "<i8", "u1", "<i4", "u1", "<i8", "?")
     number, per_context = number.astype(np.int64), per_context.astype(np.int64)
@@ -493,21 +532,20 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes:
     folder = scratch_path(spark, "block-post")
     bodies = blocks.select("block", "texts")
     asked = bodies.mapInArrow(lambda b: ask(b, n_buckets), "bucket long, block long, hashes binary")
-    _posted(asked.groupBy("bucket").applyInArrow(answer, "block long, bucket long, bits binary"), folder, "shared")
+    _posted(asked.groupBy("bucket").applyInArrow(answer, "block long, bucket long, bits binary"), blocks, folder, "shared")
 
     def send(batches):
         claim("suffix_dedup")
         for batch in batches:
             for block, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 messages, where = contexts(body, _answers(folder, "shared", block), n_buckets)
-                if where is not None:
-                    post(folder, "where", block, where)
+                post(folder, "where", block, where or b"")
                 for at in range(0, len(messages), 256):
                     part = messages[at : at + 256]
                     yield pa.RecordBatch.from_pydict({"bucket": [k for k, _ in part], "block": [block] * len(part), "message": [m for _, m in part]})
 
     sent = bodies.mapInArrow(send, "bucket long, block long, message binary")
-    _posted(sent.groupBy("bucket").applyInArrow(smallest, "block long, bucket long, bits binary"), folder, "smaller")
+    _posted(sent.groupBy("bucket").applyInArrow(smallest, "block long, bucket long, bits binary"), blocks, folder, "smaller")
     place = stay.index(text)
 
     def finish(batches):
@@ -519,7 +557,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes:
     return blocks.select("block", "texts", "columns").mapInArrow(finish, schema)
 
 
-def _finished(texts: bytes, columns: bytes, where: bytes | None, answers: list, place: int, names: list[str]) -> pa.RecordBatch:
+def _finished(texts: bytes, columns: bytes, where: bytes, answers: list, place: int, names: list[str]) -> pa.RecordBatch:
     """A block's rows with reduced texts and results."""
     ids, offsets, data = _open(texts)
     gone = removed(offsets, where, answers)

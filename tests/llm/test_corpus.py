@@ -117,6 +117,29 @@ def test_deep_shallow_sorts(seed):
     assert [a == b for a, b in zip(group[1:], group, strict=False)] == [a == b for a, b in zip(strings[1:], strings, strict=False)]
 
 
+@pytest.mark.parametrize("alphabet", [1, 2, 26, 256])
+def test_multikey_quicksort_at_any_depth(alphabet):
+    r = np.random.default_rng(alphabet)
+    for n, length, shallow in ((1, 50, 24), (3, 50, 24), (700, 50, 24), (700, 27, 20), (700, 13, 24), (700, 5, 24), (700, 12, 8)):
+        data = np.concatenate([r.integers(0, alphabet, n + length).astype(np.uint8), np.zeros(8, np.uint8)])
+        starts = np.concatenate([r.permutation(n), np.arange(n)])  # every place twice
+        order, group = suffix_dedup.deep_shallow(data, starts, length, shallow)
+        strings = [data[s : s + length].tobytes() for s in starts]
+        assert sorted(order.tolist()) == list(range(len(starts)))
+        assert [strings[i] for i in order] == sorted(strings)
+        ranks = {x: i for i, x in enumerate(sorted(set(strings)))}
+        assert [ranks[strings[i]] for i in order] == group.tolist()
+
+
+def test_posts_stay_and_lost_ones_are_errors(spark, tmp_path):
+    folder = str(tmp_path / "post")
+    suffix_dedup.post(folder, "shared", 7, b"first")
+    suffix_dedup.post(folder, "shared", 7, b"first")
+    assert suffix_dedup.fetch(folder, "shared", 7) == b"first" and len(list((tmp_path / "post").iterdir())) == 1
+    with pytest.raises(OSError):
+        suffix_dedup.fetch(folder, "shared", 8)
+
+
 def test_blind_trie():
     r = random.Random(1)
     for _ in range(50):
