@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from cupom.functions.coerce import to_date_any
 from cupom.plans import silver
+from cupom.session import conf_override
+from cupom.sources import json_values
 
 
 @pytest.mark.parametrize(("text", "want"), [("+16541-04-26", "+16541-04-26"), ("26/04/+16541", "+16541-04-26"), ("04/26/+16541", "+16541-04-26"),
@@ -24,3 +26,17 @@ def test_feeds_keep_due_dates_past_9999(spark):
     assert silver.leiloes(row).where(F.col("data_vencimento") == due).count() == 1
     settled = spark.range(1).select(F.lit("05/01/2026").alias("DATA MOV"), F.date_format(due, "dd/MM/yyyy").alias("VENCIMENTO"))
     assert silver.liquidacoes_mercado(settled).where((F.col("data_vencimento") == due) & (F.col("data_referencia") == F.lit(dt.date(2026, 1, 5)))).count() == 1
+
+
+BROKEN = '{"a": 0, "tr\n' + "".join('{"a": %d, "b": "}"}\n' % n for n in range(1, 40)) + '{\n  "a": 40\n}\n[\n{"a": 41},\n{"a": 42}\n]\n'
+
+
+@pytest.mark.parametrize("split", ["128m", "50b"])  # one block, and many
+def test_a_broken_line_does_not_take_its_file_along(spark, tmp_path, split):
+    (tmp_path / "a.json").write_text(BROKEN)
+    with conf_override(spark, {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "1"}):
+        values = json_values._joined(json_values._parts(spark, [str(tmp_path / "a.json")])).collect()
+        assert max(len(r.value.split("\n")) for r in values) <= 4
+        rows = json_values.json_records(spark, [str(tmp_path / "a.json")]).collect()
+    assert sorted(int(r.a) for r in rows if r.a) == list(range(1, 43))
+    assert [r._corrupt_record for r in rows if r._corrupt_record] == ['{"a": 0, "tr']
