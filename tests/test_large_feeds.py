@@ -1,14 +1,18 @@
 """Feeds as they get with many bonds: years past 9999, documents of bounded length, a broken line before many good ones."""
 
 import datetime as dt
+import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from cupom.functions.coerce import to_date_any
-from cupom.plans import silver
+from cupom.plans import feeddata, silver
+from cupom.plans.reader import read_data
 from cupom.session import conf_override
 from cupom.sources import json_values
+from cupom.streaming.ingest import run_available_now
 
 
 @pytest.mark.parametrize(("text", "want"), [("+16541-04-26", "+16541-04-26"), ("26/04/+16541", "+16541-04-26"), ("04/26/+16541", "+16541-04-26"),
@@ -40,3 +44,37 @@ def test_a_broken_line_does_not_take_its_file_along(spark, tmp_path, split):
         rows = json_values.json_records(spark, [str(tmp_path / "a.json")]).collect()
     assert sorted(int(r.a) for r in rows if r.a) == list(range(1, 43))
     assert [r._corrupt_record for r in rows if r._corrupt_record] == ['{"a": 0, "tr']
+
+
+def test_a_replay_of_quotes_keeps_the_newest(spark, tmp_path):
+    land = tmp_path / "landing" / "mercado_secundario"
+    land.mkdir(parents=True)
+    for n, (name, rate) in enumerate((("b", "1"), ("a", "2"), ("c", "3"))):
+        row = {"tipo_titulo": "LTN", "data_vencimento": "2030-01-01", "data_referencia": "2026-01-15", "taxa_indicativa": rate, "pu": "1"} | {f"intervalo_{x}": "1" for x in ("min_d0", "max_d0", "min_d1", "max_d1")}
+        (land / f"{name}.json").write_text(json.dumps([row, row | {"taxa_indicativa": "9"}]))
+        os.utime(land / f"{name}.json", (1000 + n, 1000 + n))
+    run_available_now(spark, str(tmp_path), "mercado_secundario", str(tmp_path / "point"))
+    assert [r.taxa_anbima for r in read_data(spark, str(tmp_path)).mercado_secundario.fetch_all().collect()] == [3.0]  # first row of the newest file
+
+
+def test_stream_rounds_takes_every_order(spark, tmp_path):
+    rows = [(k, 7 + k % 2, "FOP"[k % 3], float(k), dt.datetime(1998, 1, 1 + k % 8)) for k in range(1, 25)] + [(99, 5_300_000, "O", 5.0, dt.datetime(1998, 1, 5))]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    out = feeddata.stream_rounds(spark, str(tmp_path)).select("feed", "key", F.col("due").cast("string"), F.col("day").cast("string"), "x", "more").collect()
+    due = lambda cust: F.expr(f"date_add(DATE '2030-01-01', {cust})").cast("string")
+    (one, two, far), = spark.range(1).select(due(7), due(8), due(5_300_000)).collect()
+    want, day = {}, lambda d: str(feeddata.FIRST_DAY + dt.timedelta((d % 40) // 5 * 7 + d % 5))
+    for _, cust, kind, price, at in rows:
+        key = (kind, cust, at.timetuple().tm_yday)
+        want[key] = max(price, want.get(key, 0))
+    dues = {7: one, 8: two, 5_300_000: far}
+    quotes = [("quotes", kind, dues[cust], day(d), p * (2 if d % 3 == 1 else 1), "later" if d % 3 == 1 else None) for (kind, cust, d), p in want.items()]
+    auctions = [("auctions", str(cust), dues[cust], day(d), p, None) for (kind, cust, d), p in want.items()]
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, [*quotes, *auctions, ("aside", None, None, None, None, '{"tipo_titulo": "broken')]))
+
+
+@pytest.mark.parametrize("keys", [(), ("kind",)])
+def test_documents_are_paged(spark, keys):
+    rows = spark.range(1000).select(F.lit(dt.date(1998, 1, 5)).alias("day"), F.lit("O").alias("kind"), F.when(F.col("id") > 0, F.col("id") * 3).alias("cust"))
+    got = feeddata._paged(rows, F.struct("cust"), "list", *keys).select(F.size("list").alias("n")).collect()
+    assert max(r.n for r in got) <= feeddata.PAGE and sum(r.n for r in got) == 1000
