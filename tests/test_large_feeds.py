@@ -78,3 +78,11 @@ def test_documents_are_paged(spark, keys):
     rows = spark.range(1000).select(F.lit(dt.date(1998, 1, 5)).alias("day"), F.lit("O").alias("kind"), F.when(F.col("id") > 0, F.col("id") * 3).alias("cust"))
     got = feeddata._paged(rows, F.struct("cust"), "list", *keys).select(F.size("list").alias("n")).collect()
     assert max(r.n for r in got) <= feeddata.PAGE and sum(r.n for r in got) == 1000
+
+
+def test_landed_documents_do_not_grow_with_their_day(spark, tmp_path):
+    facts = spark.range(250).select(F.lit("O").alias("kind"), F.col("id").alias("cust"), F.lit(0).alias("k"), F.lit(1).alias("n"), F.lit(2.0).alias("price"), F.lit(dt.date(1998, 1, 5)).alias("day"), F.lit(dt.date(2030, 1, 1)).alias("due"))
+    feeddata._land_batch(spark, facts, str(tmp_path), "a")
+    for feed, name in (("vna", "titulos"), ("leiloes", "registros")):
+        sizes = [len(json.loads(r.value)[name]) for r in spark.read.text(f"{tmp_path}/{feed}/a").collect()]
+        assert sum(sizes) == 250 and max(sizes) <= feeddata.PAGE
